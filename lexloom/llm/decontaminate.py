@@ -9,12 +9,15 @@ a shuffle instead.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 10
 #: Windows of all items that may be held by every task: about 100 bytes each.
 MAX_WINDOWS = 200_000
+_HITS = "array<struct<s:int,len:int,win:string>>"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What parts words: all of ASCII but letters and digits.
 _PARTS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
@@ -46,26 +49,34 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     known = win.select("win", "len", "anchor", "at").distinct().limit(max_windows + 1).collect()
     if len(known) > max_windows:
         return _scan_joined(docs, win, text_col)
-    seen = docs.withColumn("_w", words(F.col(text_col)))
-    if not known:
-        return seen.withColumn("_n_words", F.size("_w")).withColumn("_hits", F.array().cast("array<struct<s:int,len:int,win:string>>")).drop("_w")
     lengths: dict[int, dict[str, set]] = {}
     for r in known:
-        lengths.setdefault(r.len, {"anchor": set(), "at": set(), "win": set()})
-        for k in ("anchor", "at", "win"):
-            lengths[r.len][k].add(r[k])
+        mine = lengths.setdefault(r.len, {"at": set(), "win": set()})
+        mine["at"].add(r["at"])
+        mine["win"].add(r.win)
     anchors = sorted({r.anchor for r in known})
-    seen = seen.withColumn("_at", F.when(F.size("_w") > 0, F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: F.get("_w", i).isin(anchors))).otherwise(F.array().cast("array<int>")))
-    hits = [_windows_at(n, sorted(k["at"]), sorted(k["win"])) for n, k in sorted(lengths.items())]
-    return seen.withColumn("_n_words", F.size("_w")).withColumn("_hits", F.concat(*hits)).drop("_w", "_at")
 
+    def hits(w: Column) -> Column:
+        if not known:
+            return F.array().cast(_HITS)
+        places = F.when(F.size(w) > 0, F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, i).isin(anchors))).otherwise(F.array().cast("array<int>"))
+        return _with(places, lambda at: F.concat(*[_windows_at(w, at, n, sorted(k["at"]), sorted(k["win"])) for n, k in sorted(lengths.items())]))
+
+    seen = docs.withColumn("_scan", _with(words(F.col(text_col)), lambda w: F.struct(F.size(w).alias("n"), hits(w).alias("hits"))))
+    return seen.withColumn("_n_words", F.col("_scan.n")).withColumn("_hits", F.col("_scan.hits")).drop("_scan")
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once; an expression used inside a lambda would be computed again for each element."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
-def _windows_at(n: int, offsets: list[int], wins: list[str]) -> Column:
-    """Hits of windows of n words, whose anchors stand at these offsets, around the places in _at."""
+
+def _windows_at(w: Column, at: Column, n: int, offsets: list[int], wins: list[str]) -> Column:
+    """Hits of windows of n words, whose anchors stand at these offsets, around the places at."""
     shifts = F.array(*[F.lit(x) for x in offsets])
-    starts = F.array_distinct(F.flatten(F.transform("_at", lambda i: F.transform(shifts, lambda o: i - o))))
-    inside = F.filter(starts, lambda s: (s >= 0) & (s + n <= F.size("_w")))
-    made = F.transform(inside, lambda s: F.struct(s.alias("s"), F.lit(n).alias("len"), F.array_join(F.slice("_w", s + 1, n), " ").alias("win")))
+    starts = F.array_distinct(F.flatten(F.transform(at, lambda i: F.transform(shifts, lambda o: i - o))))
+    inside = F.filter(starts, lambda s: (s >= 0) & (s + n <= F.size(w)))
+    made = F.transform(inside, lambda s: F.struct(s.alias("s"), F.lit(n).alias("len"), F.array_join(F.slice(w, s + 1, n), " ").alias("win")))
     return F.filter(made, lambda h: h["win"].isin(wins))
 
 
@@ -77,7 +88,7 @@ def _scan_joined(docs: DataFrame, win: DataFrame, text_col: str) -> DataFrame:
     asked = places.join(win.select("anchor", "at", "len").distinct(), "anchor").select("_row", (F.col("_p") - F.col("at")).alias("s"), "len").where("s >= 0").distinct()
     cut = asked.join(base.select("_row", "_w"), "_row").where(F.col("s") + F.col("len") <= F.size("_w")).select("_row", "s", "len", F.array_join(F.slice("_w", F.col("s") + 1, F.col("len")), " ").alias("win"))
     hits = cut.join(win.select("win").distinct(), "win", "left_semi").groupBy("_row").agg(F.collect_set(F.struct("s", "len", "win")).alias("_hits"))
-    empty = F.array().cast("array<struct<s:int,len:int,win:string>>")
+    empty = F.array().cast(_HITS)
     return base.join(hits, "_row", "left").withColumn("_n_words", F.size("_w")).withColumn("_hits", F.coalesce("_hits", empty)).drop("_row", "_w")
 
 
@@ -104,14 +115,16 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text
     """docs with their columns: where windows occur, those spans are cut from the text (the words around keep their exact
     characters), or the whole document goes. Documents without hits are untouched; one with nothing left goes too."""
     found = scan(docs, items, text_col=text_col, item_id=item_id, item_text=item_text, width=width, max_windows=max_windows)
-    if whole:
-        return found.where(F.size("_hits") == 0).select(*docs.columns)
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     # pieces: a word with what follows it; the first also has what stands before it
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(rf"(?:^[\x00-\x2F\x3A-\x60\x7B-\x7F]*)?{word}[\x00-\x2F\x3A-\x60\x7B-\x7F]*"), F.lit(0))
-    # one bound variable for both arrays: an expression inside a lambda would be evaluated again for each word
-    bound = F.array(F.struct(pieces.alias("p"), F.array_except(F.sequence(F.lit(0), F.col("_n_words") - 1), _hit_places()).alias("left")))
-    rest = F.get(F.transform(bound, lambda v: F.array_join(F.transform(v["left"], lambda i: F.get(v["p"], i)), "")), F.lit(0))
-    out = found.withColumn(text_col, F.when(F.size("_hits") == 0, F.col(text_col)).otherwise(rest))
-    out = out.where((F.size("_hits") == 0) | (F.trim(F.coalesce(F.col(text_col), F.lit(""))) != ""))
-    return out.select(*docs.columns)
+    empty = F.size("_hits") == 0
+    gone = F.lit(True) if whole else F.lit(False)
+
+    def without(v: Column) -> Column:
+        return F.array_join(F.transform(v["left"], lambda i: F.get(v["p"], i)), "")
+
+    rest = _with(F.struct(pieces.alias("p"), F.array_except(F.sequence(F.lit(0), F.col("_n_words") - 1), _hit_places()).alias("left")), without)
+    # kept texts as an array of one or none: a filter would be pushed below the scan and repeat it
+    kept = F.when(empty, F.array(F.col(text_col))).otherwise(F.when(gone, F.array().cast("array<string>")).otherwise(F.filter(F.array(rest), lambda x: F.trim(x) != "")))
+    return found.select(*[c for c in docs.columns if c != text_col], F.explode(kept).alias(text_col)).select(*docs.columns)
