@@ -66,13 +66,18 @@ def allocate(hi: int, num: int, den: int) -> Plan | None:
     return best[1]
 
 
+#: Low bits of a signature that hold its join group, so that rows are two numbers.
+GROUP_BITS = 7
+
+
 def _finish(lo: np.ndarray, hi: np.ndarray, count: np.ndarray, segment: np.ndarray, group: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix(lo.astype(U) + (hi.astype(U) << U(32)) + mix(count.astype(U) * U(0x9FB21C651E98DF25) + segment.astype(U) * U(0xD6E8FEB86659FD93) + group.astype(U) * U(0xA0761D6478BD642F)))
+        sig = mix(lo.astype(U) + (hi.astype(U) << U(32)) + mix(count.astype(U) * U(0x9FB21C651E98DF25) + segment.astype(U) * U(0xD6E8FEB86659FD93) + group.astype(U) * U(0xA0761D6478BD642F)))
+        return (sig >> U(GROUP_BITS) << U(GROUP_BITS)) | group.astype(U)
 
 
-def signatures(row: np.ndarray, shingle: np.ndarray, size: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, group, signature) of sets given as (row, shingle), for both join groups of each set's band."""
+def signatures(row: np.ndarray, shingle: np.ndarray, size: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, signature) of sets given as (row, shingle), for both join groups of each set's band."""
     if not len(row):
         return
     his = bands(num, den, int(size.max()))
@@ -109,11 +114,11 @@ def signatures(row: np.ndarray, shingle: np.ndarray, size: np.ndarray, num: int,
             keep = rank >= spare
         else:
             keep = np.ones(len(sig), bool)
-        yield owner[keep], g[keep], sig[keep]
+        yield owner[keep], sig[keep]
         near = segment[at] < table[group[r], 1]
         if near.any():
             a = at[near]
-            yield r[near], g[a], _finish((slo[a] - lo[near]).astype(np.int64), (shi[a] - hi[near]).astype(np.int64), cnt[a] - 1, segment[a], g[a])
+            yield r[near], _finish((slo[a] - lo[near]).astype(np.int64), (shi[a] - hi[near]).astype(np.int64), cnt[a] - 1, segment[a], g[a])
 
 
 def _sizes(docs: DataFrame, width: int) -> DataFrame:
@@ -134,10 +139,10 @@ def _signed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 row, s = shingle_sets(*text_bytes(b.column(1)), width)
                 size, fp = fingerprints(row, s, b.num_rows)
                 fp = fp.view(np.int64)
-                for owner, group, sig in signatures(row, s, size, num, den):
-                    yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(fp[owner]), pa.array(group, pa.int32())], ["sig", "cls", "grp"])
+                for owner, sig in signatures(row, s, size, num, den):
+                    yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(fp[owner])], ["sig", "cls"])
 
-    return docs.mapInArrow(run, "sig long, cls long, grp int")
+    return docs.mapInArrow(run, "sig long, cls long")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -157,7 +162,7 @@ def _stars(batches):
     batches, so a signature may have any number of sets."""
     last = None
     for b in batches:
-        sig, cls, grp = (b.column(i).to_numpy() for i in range(3))
+        sig, cls = (b.column(i).to_numpy() for i in range(2))
         if not len(sig):
             continue
         n = len(sig)
@@ -172,22 +177,39 @@ def _stars(batches):
             first[0], again[0] = False, last[2] == cls[0]
         last = (sig[-1], pivot[-1], cls[-1])
         keep = ~first & ~again
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, grp, pivot, cls)], ["sig", "grp", "pivot", "cls"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, pivot, cls)], ["sig", "pivot", "cls"])
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """Of candidate pairs (a, b) of set ids those that are similar, as (src, dst)."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+def _sets_of(wanted: DataFrame, docs: DataFrame, sizes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """(cls, tokens) of the wanted (cls) sets, from one document each."""
     first = scratch.write(sizes.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
     ids = F.broadcast(first) if first.count() <= BROADCAST_IDS else first
     sets = scratch.write(_sets(docs.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["cls"]))
+    scratch.drop(first)
+    return sets
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Of candidate pairs (a, b) of set ids those that are similar, as (src, dst)."""
     a = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     b = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
-    near = F.size("x") * den >= F.size("y") * num, F.size("y") * den >= F.size("x") * num
-    both = pairs.join(b, "b").join(a, "a").where(near[0] & near[1]).withColumn("common", F.size(F.array_intersect("x", "y")))
-    out = scratch.write(both.where(F.col("common") * den >= (F.size("x") + F.size("y") - F.col("common")) * num).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    scratch.drop(sets, first)
-    return out
+    near = (F.size("x") * den >= F.size("y") * num) & (F.size("y") * den >= F.size("x") * num)
+    both = pairs.join(b, "b").join(a, "a").where(near).withColumn("common", F.size(F.array_intersect("x", "y")))
+    return scratch.write(both.where(F.col("common") * den >= (F.size("x") + F.size("y") - F.col("common")) * num).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+
+
+def _hopeful(sets: DataFrame, num: int, den: int, scratch: Scratch, rounds: int = 2) -> DataFrame:
+    """(cls, n, most) of the sets that can be similar to another one given. Tokens that no other given set has are lost to
+    every pair: with e tokens left of n, J >= t asks for a partner of at most e(1+t)/t - n tokens (``most``) and at least
+    t*n. Sets without such sizes go, which makes more tokens unique, so it is done again."""
+    left = sets
+    for _ in range(rounds):
+        alone = left.select("cls", F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"), F.min("cls").alias("cls")).where("n = 1")
+        shared = left.select("cls", F.size("tokens").alias("n")).join(alone.groupBy("cls").agg(F.count("*").alias("lone")), "cls", "left")
+        most = F.floor((F.col("n") - F.coalesce("lone", F.lit(0))) * (den + num) / num) - F.col("n")
+        facts = scratch.write(shared.select("cls", "n", most.alias("most")).where(F.col("most") * den >= F.col("n") * num))
+        left = sets.join(facts.select("cls"), "cls", "left_semi")
+    return facts
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,44 +221,46 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     A repeated id gives a row each time. An id that is null keeps its own row and component null. No row, signature or pair is
     capped or sampled. Shingles are compared by 64-bit hashes.
 
-    First every signature's sets are checked against its smallest one, which settles groups of near copies in linear time.
+    First every signature's sets are checked against its most shared one, which settles groups of near copies in linear time.
     Then only pairs of sets in different components can add a link: of those, every pair that shares enough signatures is
-    checked too, so the result is exact.
+    checked too, unless the tokens that a set shares with no other candidate rule it out, so the result is exact.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sizes = scratch.write(_sizes(docs, width))
     known = docs.where("doc_id is not null")
-    stars = scratch.write(_signed(known, width, num, den).repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(_stars, "sig long, grp int, pivot long, cls long"))
-    pairs = scratch.write(stars.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct())
-    edges = _verified(spark, pairs, known, sizes, width, num, den, scratch)
+    stars = scratch.write(_signed(known, width, num, den).repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(_stars, "sig long, pivot long, cls long"))
+    members = scratch.write(stars.select("sig", "cls").union(stars.select("sig", F.col("pivot").alias("cls")).distinct()))
+    scratch.drop(stars)
+    # a text that others were made from shares all its signatures, they each lack some: it is the centre to check first
+    weight = members.groupBy("cls").agg(F.count("*").alias("w"))
+    centres = members.join(weight, "cls").groupBy("sig").agg(F.max(F.struct("w", "cls")).alias("c")).select("sig", F.col("c.cls").alias("centre"))
+    pairs = scratch.write(members.join(centres, "sig").where("cls <> centre").select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct())
+    sets = _sets_of(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(), known, sizes, width, scratch)
+    edges = _verified(pairs, sets, num, den, scratch)
     comps = connected_components(spark, edges, scratch)
 
-    members = stars.select("sig", "grp", "cls").union(stars.select("sig", "grp", F.col("pivot").alias("cls")).distinct())
-    members = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    mixed = members.groupBy("sig", "grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig", "grp")
-    mixed = scratch.write(members.join(mixed, ["sig", "grp"], "left_semi"))
+    labelled = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    apart = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig")
+    mixed = scratch.write(labelled.join(apart, "sig", "left_semi"))
     if mixed.limit(1).count():
+        facts = _hopeful(sets.join(mixed.select("cls").distinct(), "cls", "left_semi"), num, den, scratch)
+        left = scratch.write(mixed.join(facts, "cls"))
         single = [g for g, h in enumerate(bands(num, den, 1 << 12)[:-1]) if (p := allocate(int(h), num, den)) and p.need == 1]
-        need = F.when(F.col("grp").isin(single), 1).otherwise(3)
-        left = mixed.select("sig", "grp", F.col("component").alias("ca")).distinct()
-        right = mixed.select("sig", "grp", F.col("component").alias("cb")).distinct()
-        apart = left.join(right, ["sig", "grp"]).where("ca < cb").groupBy("ca", "cb", "grp").agg(F.count("*").alias("n")).where(F.col("n") >= need).select("ca", "cb", "grp")
-        apart = scratch.write(apart)
-        x = mixed.select("sig", "grp", F.col("component").alias("ca"), F.col("cls").alias("x"))
-        y = mixed.select("sig", "grp", F.col("component").alias("cb"), F.col("cls").alias("y"))
-        more = x.join(apart, ["ca", "grp"]).join(y, ["sig", "grp", "cb"]).groupBy("x", "y", "grp").agg(F.count("*").alias("n")).where(F.col("n") >= need)
-        more = scratch.write(more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
-        found = _verified(spark, more, known, sizes, width, num, den, scratch)
+        group = F.col("sig").bitwiseAND(F.lit((1 << GROUP_BITS) - 1))
+        x, y = (left.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("cls", "component", "n", "most"))) for s in "xy")
+        fits = (F.col("component_x") < F.col("component_y")) & (F.col("n_x") <= F.col("most_y")) & (F.col("n_y") <= F.col("most_x")) & (F.col("n_x") * den >= F.col("n_y") * num) & (F.col("n_y") * den >= F.col("n_x") * num)
+        often = x.join(y, ["sig"]).where(fits).groupBy("cls_x", "cls_y", group.alias("grp")).agg(F.count("*").alias("k")).where(F.col("k") >= F.when(F.col("grp").isin(single), 1).otherwise(3))
+        more = often.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct()
+        found = _verified(scratch.write(more.join(pairs, ["a", "b"], "left_anti")), sets, num, den, scratch)
         if found.limit(1).count():
             comps = connected_components(spark, edges.union(found), scratch)
-        scratch.drop(apart, more)
+    scratch.drop(members, pairs, mixed, sets)
     least = sizes.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     grouped = least.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     roots = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     named = scratch.write(grouped.select("cls", "component").join(roots, "component").select("cls", "component_id"))
-    scratch.drop(stars, pairs, mixed)
     lone = F.col("n_shingles") == 0
     out = sizes.join(named, "cls", "left")
     return out.select("doc_id", "n_shingles", F.when(lone | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"))
