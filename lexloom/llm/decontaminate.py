@@ -115,9 +115,9 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text
     """docs with their columns: where windows occur, those spans are cut from the text (the words around keep their exact
     characters), or the whole document goes. Documents without hits are untouched; one with nothing left goes too."""
     found = scan(docs, items, text_col=text_col, item_id=item_id, item_text=item_text, width=width, max_windows=max_windows)
-    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    part = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # the text still has its capitals
     # pieces: a word with what follows it; the first also has what stands before it
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(rf"(?:^[\x00-\x2F\x3A-\x60\x7B-\x7F]*)?{word}[\x00-\x2F\x3A-\x60\x7B-\x7F]*"), F.lit(0))
+    pieces = F.regexp_extract_all(F.col(text_col), F.lit(rf"(?:^{part}*)?{part.replace('[', '[^')}+{part}*"), F.lit(0))
     empty = F.size("_hits") == 0
     gone = F.lit(True) if whole else F.lit(False)
 

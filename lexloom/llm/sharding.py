@@ -34,10 +34,12 @@ def _propagate(cells: DataFrame, total: int, shards: int, rounds: int, scratch:
             load[r.shard] = r.n
         free = np.maximum(0, cap - load)
         counts = F.map_from_entries(F.collect_list(F.struct("shard", "n")))  # a hub has at most one cell a shard
-        best = F.array_max(F.transform(F.map_entries("at"), lambda e: F.struct(e["value"].alias("n"), (-e["key"]).alias("k"))))
-        hubs = cells.groupBy("h1", "h2").agg(counts.alias("at")).where(F.size("at") > 1)
-        asked = hubs.withColumn("best", best).select("h1", "h2", F.explode(F.map_entries("at")).alias("e"), (-F.col("best")["k"]).alias("to"))
-        asked = asked.select("h1", "h2", F.col("e")["key"].alias("from"), "to", F.col("e")["value"].alias("n")).where(F.col("from") != F.col("to"))
+        # the fullest cell whose shard has room (any shard, if none has: then only swaps move); fuller cells stay
+        roomy = [s for s in range(shards) if free[s]] or list(range(shards))
+        best = F.array_max(F.transform(F.filter(F.map_entries("at"), lambda e: e["key"].isin(roomy)), lambda e: F.struct(e["value"].alias("n"), (-e["key"]).alias("k"))))
+        hubs = cells.groupBy("h1", "h2").agg(counts.alias("at")).where(F.size("at") > 1).withColumn("best", best).where("best is not null")
+        asked = hubs.select("h1", "h2", "best", F.explode(F.map_entries("at")).alias("e"), (-F.col("best")["k"]).alias("to"))
+        asked = asked.where(F.struct(F.col("e")["value"].alias("n"), (-F.col("e")["key"]).alias("k")) < F.col("best")).select("h1", "h2", F.col("e")["key"].alias("from"), "to", F.col("e")["value"].alias("n"))
         asked = scratch.write(asked.withColumn("cls", F.floor(F.log2("n")).cast("int")))
         sums = {(r["from"], r["to"], r["cls"]): r.n for r in asked.groupBy("from", "to", "cls").agg(F.sum("n").alias("n")).collect()}
         if not sums:
@@ -73,7 +75,7 @@ def _spread(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(7), key), F.lit(n)).cast("int")
 
 
-def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, size long (UTF-8 bytes plus 1), text_crc32 long, law string ('rows'), shard int, slot long
     (gapless from 0 in each shard), grown_shard int (null: the law isn't ``key``).
 
