@@ -50,8 +50,10 @@ def _propagate(cells: DataFrame, total: int, shards: int, rounds: int, scratch:
         allowed = np.minimum(want, want.T)  # swaps leave the loads as they are
         for t in range(shards):
             extra, room = want[:, t] - allowed[:, t], int(free[t])
-            if extra.sum():
-                allowed[:, t] += np.minimum(extra, extra * room // max(1, int(extra.sum())))
+            for s in np.argsort(-extra, kind="stable"):
+                take = min(int(extra[s]), room)
+                allowed[s, t] += take
+                room -= take
         if not allowed.any():
             break
         share = []
