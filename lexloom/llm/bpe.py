@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import slices
+from .scratch import small_batches
+from .words import slices, trimmed
 
 #: Characters of a chunk, and by how many the next one is overlapped; texts over LONG are dealt to several tasks.
 CHUNK, OVERLAP, LONG = 1 << 15, 256, 1 << 16
 #: Pre-tokens whose ids a worker remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 
 
 def read_ranks(path: str) -> bytes:
@@ -128,6 +129,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """(doc_id, ids array<int>), a row per document: the ids of the whole text as the tiktoken library would encode it without
     special tokens. Null and empty texts have no ids. A repeated id keeps each of its rows."""
     spark = docs.sparkSession
+    small_batches(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # the fixed vocabulary file, under a megabyte
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -153,10 +155,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         return pa.table({"doc_id": table["doc_id"].slice(0, 1), "ids": _ids([ids])})
 
     size = F.length("text")
-    short = docs.where(size <= long).mapInArrow(whole, f"doc_id {kind}, ids array<int>")
+    short = docs.where(size <= long).mapInArrow(trimmed(whole), f"doc_id {kind}, ids array<int>")
     cut = docs.where(size > long).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text", F.explode(F.sequence(F.lit(0), ((size - 1) / chunk).cast("int"))).alias("k"))
     cut = cut.select("row", "doc_id", "k", ((F.col("k") + 1) * chunk >= size).alias("last"), F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("text"))
-    cut = cut.repartition("row", "k").mapInArrow(pieces, f"row long, doc_id {kind}, k int, last boolean, text string, starts array<long>, counts array<long>, ids binary")
+    cut = cut.repartition("row", "k").mapInArrow(trimmed(pieces), f"row long, doc_id {kind}, k int, last boolean, text string, starts array<long>, counts array<long>, ids binary")
     return short.union(cut.groupBy("row").applyInArrow(stitched, f"doc_id {kind}, ids array<int>"))
 
 
@@ -177,7 +179,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 raw = pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, 512), lists.slice(at, 512), raw], ["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), f"doc_id {kind}, ids array<int>, decoded binary")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import Scratch
+from .scratch import Scratch, small_batches
 
 #: Centres of the shared top; vectors of one block; sampled vectors for each centre.
 MAX_NODES, BLOCK, SAMPLE = 512, 4096, 16
@@ -225,6 +225,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     Results are exact; nothing is sampled but the vectors that centres are picked from, which decide speed alone.
     """
     spark = vectors.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "cover")
     reach = math.sqrt(2 - 2 * cosine)
 

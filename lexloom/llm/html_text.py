@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import small_batches
+
 PATH, WORDS, HIDDEN = 96, 24, 16
 MEASURES = 7
 #: Pages of the corpus that training looks at, of smallest hash, and made-up pages.
@@ -343,6 +345,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     seen = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     sample = seen.where("html is not null and length(html) < 200000").select("html", F.xxhash64("html").alias("k")).orderBy("k", "html").limit(sample_pages).collect()
+    small_batches(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(train([r.html for r in sample]))
 
     @F.pandas_udf("string")

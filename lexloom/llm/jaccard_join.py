@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import Scratch
+from .scratch import Scratch, small_batches
 from .shingles import fingerprints, shingle_sets
-from .words import U, mix, slices, text_bytes
+from .words import U, mix, slices, text_bytes, trimmed
 
 #: Up to so many ids of documents are broadcast as a filter (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -129,7 +129,7 @@ def _sizes(docs: DataFrame, width: int) -> DataFrame:
                 size, fp = fingerprints(row, s, b.num_rows)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(fp.view(np.int64))], ["doc_id", "n_shingles", "cls"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, cls long")
+    return docs.mapInArrow(trimmed(run), "doc_id long, n_shingles long, cls long")
 
 
 def _signed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -142,7 +142,7 @@ def _signed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 for owner, sig in signatures(row, s, size, num, den):
                     yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(fp[owner])], ["sig", "cls"])
 
-    return docs.mapInArrow(run, "sig long, cls long")
+    return docs.mapInArrow(trimmed(run), "sig long, cls long")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -154,7 +154,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(s.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), lists], ["cls", "tokens"])
 
-    return docs.mapInArrow(run, "cls long, tokens array<long>")
+    return docs.mapInArrow(trimmed(run), "cls long, tokens array<long>")
 
 
 def _stars(batches):
@@ -226,11 +226,12 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     checked too, unless the tokens that a set shares with no other candidate rule it out, so the result is exact.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "jaccard")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sizes = scratch.write(_sizes(docs, width))
     known = docs.where("doc_id is not null")
-    stars = scratch.write(_signed(known, width, num, den).repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(_stars, "sig long, pivot long, cls long"))
+    stars = scratch.write(_signed(known, width, num, den).repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(trimmed(_stars), "sig long, pivot long, cls long"))
     members = scratch.write(stars.select("sig", "cls").union(stars.select("sig", F.col("pivot").alias("cls")).distinct()))
     scratch.drop(stars)
     # a text that others were made from shares all its signatures, they each lack some: it is the centre to check first

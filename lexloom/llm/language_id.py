@@ -14,13 +14,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import slices, text_bytes
+from .scratch import small_batches
+from .words import slices, text_bytes, trimmed
 
 ORDER = 3
 #: The trees are learned from about so many labelled rows of each language, the ones of smallest hash.
 SAMPLE_ROWS = 3000
 #: Contexts of full length that a tree keeps, by count; shorter contexts are all kept.
-MAX_CONTEXTS = 20_000
+MAX_CONTEXTS = 12_000
 
 
 class Model:
@@ -125,7 +126,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
                     gram, n = np.unique(np.concatenate(codes), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), k, np.int32)), pa.array(gram), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
-    counted = picked.mapInArrow(grams, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).orderBy("lang", "gram").toArrow()
+    counted = picked.mapInArrow(trimmed(grams), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).orderBy("lang", "gram").toArrow()
     return Model(languages, np.stack([counted.column(i).to_numpy().astype(np.int64) for i in range(3)], 1))
 
 
@@ -135,6 +136,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     if model is None:
         return docs.withColumn("lang_pred", F.lit("und")).withColumn("lang_score", F.lit(0.0))
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_CONTEXTS
 
     @F.pandas_udf("lang string, score double")

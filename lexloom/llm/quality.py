@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .language_id import in_fold
+from .scratch import Scratch, small_batches
 from .words import hash_spans, lower_table, separators, slices, split_words, text_bytes
 
 SAMPLE_ROWS = 20_000
@@ -115,6 +116,7 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, part
     """
     known = labels.where(~in_fold(F.col(id_col), parts, fold))
     model = train(docs, known, id_col, text_col, label_col)
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -126,8 +128,6 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, part
         out = [held.value(features(*text_bytes(b.column(0)))) for b in slices(pa.RecordBatch.from_arrays([pa.array(text, pa.string())], ["text"]), "text")]
         return pd.Series(np.concatenate([*out, np.zeros(0)]))
 
-    from .scratch import Scratch
-
     scratch = Scratch(docs.sparkSession, "quality")
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"), evidence(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("z"))
     base = scratch.write(base.withColumn("p", 1 / (1 + F.exp(-F.col("z")))))

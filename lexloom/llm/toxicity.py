@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language_id import in_fold
-from .words import U, hash_spans, lower_table, separators, slices, split_words, text_bytes
+from .scratch import small_batches
+from .words import U, hash_spans, lower_table, separators, slices, split_words, text_bytes, trimmed
 
 #: Hash buckets of words (of beginnings as many); documents learned from at most (of about so many, by hash); decision.
 BUCKETS, SAMPLE_ROWS, THRESHOLD = 1 << 18, 12_000, 0.7
@@ -66,7 +67,7 @@ def telling(doc: np.ndarray, ids: np.ndarray, labels: np.ndarray, least: float =
     keep = np.zeros(KINDS * BUCKETS, bool)
     base = labels.mean()
     for kind in ids:
-        pair = np.unique(kind * len(labels) + doc)
+        pair = np.unique(kind.astype(np.int64) * len(labels) + doc)
         f, y = pair // len(labels), labels[pair % len(labels)]
         n = np.bincount(f, minlength=len(keep)).astype(float)
         k = np.bincount(f, weights=y, minlength=len(keep))
@@ -78,13 +79,21 @@ def telling(doc: np.ndarray, ids: np.ndarray, labels: np.ndarray, least: float =
 
 def fit(texts: list[str], labels: np.ndarray, epochs: int = 30, rate: float = 0.5, decay: float = 1e-4, batch: int = 128, seed: int = 0) -> Model:
     """Adagrad on the noisy-or likelihood of document labels, over the telling features."""
-    data, offsets = text_bytes(pa.array(texts, pa.string()))
-    row, _, sentence, ids = features(data, offsets)
+    rows, sentences, kinds, docs_so_far, sentences_so_far = [], [], [], 0, 0
+    for b in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), "text"):
+        r, _, s, k = features(*text_bytes(b.column(0)))
+        rows.append(r + docs_so_far)
+        sentences.append((s + sentences_so_far).astype(np.int32))
+        kinds.append(k.astype(np.int32))
+        docs_so_far, sentences_so_far = docs_so_far + b.num_rows, sentences_so_far + len(r)
+    row, sentence, ids = np.concatenate(rows), np.concatenate(sentences), np.concatenate(kinds, 1)
+    del rows, sentences, kinds
     keep = telling(row[sentence], ids, labels)
     number = np.cumsum(keep) - 1
     w, g, bias, gb = np.zeros(int(keep.sum()) + 1), np.full(int(keep.sum()) + 1, 1e-3), -4.0, 1e-3
     some = keep[ids].any(0)
-    sentence, ids = sentence[some], np.where(keep[ids], number[ids], len(w) - 1)[:, some]  # the last weight stays zero
+    sentence, ids = sentence[some], ids[:, some]
+    ids = np.where(keep[ids], number[ids], len(w) - 1)  # the last weight stays zero
     blank = np.bincount(row, minlength=len(texts)) - np.bincount(row[np.unique(sentence)], minlength=len(texts))  # sentences without features
     sent, sentence = np.unique(sentence, return_inverse=True)
     row = row[sent]
@@ -141,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         at = np.flatnonzero(m.weights)
         yield pa.RecordBatch.from_arrays([pa.array([at.tolist()], pa.list_(pa.int64())), pa.array([m.weights[at].tolist()], pa.list_(pa.float32())), pa.array([m.bias])], ["at", "w", "bias"])
 
-    got = rows.coalesce(1).mapInArrow(learn, "at array<long>, w array<float>, bias double").collect()
+    got = rows.coalesce(1).mapInArrow(trimmed(learn), "at array<long>, w array<float>, bias double").collect()
     if not got:
         return None
     w = np.zeros(KINDS * BUCKETS)
@@ -155,6 +164,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
     a model."""
     if model is None:
         return docs.withColumn("toxic_score", F.lit(0.0)).withColumn("toxic_at", F.array().cast("array<struct<start:long,score:double>>"))
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # KINDS * BUCKETS weights
 
     @F.pandas_udf("score double, at array<struct<start:long,score:double>>")

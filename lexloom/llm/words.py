@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,17 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[n]
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, after which the worker gives freed memory back, as workers outlive their tasks."""
+
+    def all_of(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return all_of
+
+
 def lower_table() -> np.ndarray:
     t = np.arange(256, dtype=np.uint8)
     t[65:91] += 32
@@ -60,7 +73,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, name: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, name: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``most`` bytes, so that memory doesn't follow the batch."""
     column = batch.column(batch.schema.get_field_index(name))
     sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)) if len(column) else np.zeros(0)
