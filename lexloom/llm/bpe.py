@@ -37,7 +37,8 @@ class Encoder:
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})._encode_single_piece
+        # only pre-tokens are encoded by it, so its own pattern stays trivial: it keeps a copy for each of many threads
+        piece = tiktoken.Encoding("own", pat_str=r"[\s\S]", mergeable_ranks=table, special_tokens={})._encode_single_piece
 
         class Known(dict):
             def __missing__(self, text):
@@ -102,6 +103,11 @@ class Encoder:
             at += len(piece)
         return b"".join(out)
 
+    def decoded(self, rows: list[bytes]) -> pa.Array:
+        """The bytes of rows of ids, decoded."""
+        data, offsets = self.decode(np.frombuffer(b"".join(rows), np.int32).astype(np.int64), np.cumsum([0] + [len(x) // 4 for x in rows]))
+        return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
     def decode(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all ids, end to end, and where those of each row (rows: offsets into ids) start."""
         size = self.start[ids + 1] - self.start[ids]
@@ -125,20 +131,24 @@ def _ids(rows: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) // 4 for x in rows]), pa.int32()), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", long: int = LONG, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", long: int = LONG, chunk: int = CHUNK, overlap: int = OVERLAP, check: bool = False) -> DataFrame:
     """(doc_id, ids array<int>), a row per document: the ids of the whole text as the tiktoken library would encode it without
-    special tokens. Null and empty texts have no ids. A repeated id keeps each of its rows."""
+    special tokens. Null and empty texts have no ids. A repeated id keeps each of its rows. check adds decoded binary, the bytes
+    that the ids decode to, in the same pass."""
     spark = docs.sparkSession
     small_batches(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # the fixed vocabulary file, under a megabyte
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "ids", "decoded"][: 2 + check]
+    schema = f"doc_id {kind}, ids array<int>" + ", decoded binary" * check
 
     def whole(batches):
         for batch in batches:
             for b in slices(batch, "text"):
                 enc = _encoder(ranks.value, pattern)
-                yield pa.RecordBatch.from_arrays([b.column(0), _ids([enc.encode(t) for t in b.column(1).to_pylist()])], ["doc_id", "ids"])
+                ids = [enc.encode(t) for t in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), _ids(ids), *([enc.decoded(ids)] if check else [])], names)
 
     def pieces(batches):
         for batch in batches:
@@ -152,14 +162,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         rows = sorted(table.select(["k", "text", "starts", "counts", "ids"]).to_pylist(), key=lambda r: r["k"])
         text = "".join(r["text"][:chunk] for r in rows)
         ids = enc.stitch([(np.array(r["starts"]), np.array(r["counts"], np.int64), r["ids"]) for r in rows], text)
-        return pa.table({"doc_id": table["doc_id"].slice(0, 1), "ids": _ids([ids])})
+        return pa.table([table["doc_id"].slice(0, 1), _ids([ids]), *([enc.decoded([ids])] if check else [])], names)
 
     size = F.length("text")
-    short = docs.where(size <= long).mapInArrow(trimmed(whole), f"doc_id {kind}, ids array<int>")
+    short = docs.where(size <= long).mapInArrow(trimmed(whole), schema)
     cut = docs.where(size > long).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text", F.explode(F.sequence(F.lit(0), ((size - 1) / chunk).cast("int"))).alias("k"))
     cut = cut.select("row", "doc_id", "k", ((F.col("k") + 1) * chunk >= size).alias("last"), F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("text"))
     cut = cut.repartition("row", "k").mapInArrow(trimmed(pieces), f"row long, doc_id {kind}, k int, last boolean, text string, starts array<long>, counts array<long>, ids binary")
-    return short.union(cut.groupBy("row").applyInArrow(stitched, f"doc_id {kind}, ids array<int>"))
+    return short.union(cut.groupBy("row").applyInArrow(stitched, schema))
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

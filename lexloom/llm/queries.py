@@ -31,7 +31,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path(VOCABULARY)
-    return bpe.digests(bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN))
+    return bpe.digests(bpe.encode(_read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, check=True))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,7 +117,9 @@ def test_bpe_round_trip(spark):
     for options in ({}, {"long": 200, "chunk": 90, "overlap": 12}):
         got = {r.doc_id: r for r in bpe.decode(bpe.encode(docs(spark, texts).withColumn("ids", F.lit(1)), path, P.PATTERN, **options), path, P.PATTERN).collect()}
         assert all(got[i].ids == enc.encode_ordinary(t or "") and bytes(got[i].decoded) == (t or "").encode() for i, t in enumerate(texts))
-    row = bpe.digests(bpe.decode(bpe.encode(docs(spark, ["ab cd"]), path, P.PATTERN), path, P.PATTERN)).first()
+        again = {r.doc_id: r for r in bpe.encode(docs(spark, texts), path, P.PATTERN, check=True, **options).collect()}
+        assert all(again[i].ids == got[i].ids and again[i].decoded == got[i].decoded for i in got)
+    row = bpe.digests(bpe.encode(docs(spark, ["ab cd"]), path, P.PATTERN, check=True)).first()
     assert row.ids_sha256 == hashlib.sha256(",".join(map(str, enc.encode_ordinary("ab cd"))).encode()).hexdigest()
     assert bpe.encode(docs(spark, []), path, P.PATTERN).count() == 0
 
