@@ -38,11 +38,11 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text: doc_id, n_tokens, ids, and whether decoding gives the text's bytes back."""
+    """Token ids of every text: doc_id, n_tokens, ids, and the hash of the bytes that they decode to."""
     import public_tokenizers
 
     path = public_tokenizers.path(VOCABULARY)
-    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN)
+    coded = bpe.encode(docs, path, public_tokenizers.PATTERN, check=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("text_sha256"))
 
 
