@@ -248,15 +248,12 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     if mixed.limit(1).count():
         facts = _hopeful(sets.join(mixed.select("cls").distinct(), "cls", "left_semi"), num, den, scratch)
         single = [g for g, h in enumerate(bands(num, den, 1 << 12)[:-1]) if (p := allocate(int(h), num, den)) and p.need == 1]
-        left = mixed.join(facts, "cls")
-        left = scratch.write(left.join(left.groupBy("cls").agg(F.collect_set("sig").alias("all")), "cls"))  # a set has no more signatures than tokens
-        x, y = (left.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("cls", "component", "n", "most", "all"))) for s in "xy")
+        left = scratch.write(mixed.join(facts, "cls"))
+        x, y = (left.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("cls", "component", "n", "most"))) for s in "xy")
         fits = (F.col("component_x") < F.col("component_y")) & (F.col("n_x") <= F.col("most_y")) & (F.col("n_y") <= F.col("most_x")) & (F.col("n_x") * den >= F.col("n_y") * num) & (F.col("n_y") * den >= F.col("n_x") * num)
-        shared = F.array_intersect("all_x", "all_y")
-        enough = (F.size(shared) >= 3) | F.exists(shared, lambda s: s.bitwiseAND(F.lit((1 << GROUP_BITS) - 1)).isin(single))
-        # a pair meets under each signature that it shares and is a row under the first one only
-        # (nested, so that the arrays of pairs that don't fit are never met)
-        more = x.join(y, "sig").where(F.when(fits, F.when(F.array_min(shared) == F.col("sig"), enough).otherwise(False)).otherwise(False)).select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct()
+        group = F.col("sig").bitwiseAND(F.lit((1 << GROUP_BITS) - 1))
+        often = x.join(y, "sig").where(fits).groupBy("cls_x", "cls_y", group.alias("grp")).agg(F.count("*").alias("k")).where(F.col("k") >= F.when(F.col("grp").isin(single), 1).otherwise(3))
+        more = often.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct()
         found = _verified(scratch.write(more.join(pairs, ["a", "b"], "left_anti")), sets, num, den, scratch)
         if found.limit(1).count():
             comps = connected_components(spark, edges.union(found), scratch)
