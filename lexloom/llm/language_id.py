@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import small_batches
-from .words import slices, text_bytes, trimmed
+from .words import give_back, slices, text_bytes, trimmed
 
 ORDER = 3
 #: The trees are learned from about so many labelled rows of each language, the ones of smallest hash.
@@ -115,7 +115,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
 
     def grams(batches):
         for batch in batches:
-            for b in slices(batch, "text", 1 << 20):
+            for b in slices(batch, "text", 1 << 18):
                 data, offsets = text_bytes(b.column(0))
                 lang = b.column(1).to_numpy() - 1
                 for k in np.unique(lang):
@@ -145,12 +145,13 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
 
         m, total = held.value, []
         batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string())], ["text"])
-        for b in slices(batch, "text", 1 << 20):
+        for b in slices(batch, "text", 1 << 18):
             total.append(m.bits(*text_bytes(b.column(0))))
         bits = np.concatenate([*total, np.zeros((0, len(m.languages)))])
         nats = -(bits - bits.min(1, keepdims=True)) * np.log(2.0)
         chance = np.exp(nats)
         pick = bits.argmin(1)
+        give_back()
         return pd.DataFrame({"lang": np.array(m.languages, object)[pick], "score": chance[np.arange(len(bits)), pick] / chance.sum(1)})
 
     seen = docs.withColumn("_best", best(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .language_id import in_fold
 from .scratch import small_batches
-from .words import U, hash_spans, lower_table, separators, slices, split_words, text_bytes, trimmed
+from .words import U, give_back, hash_spans, lower_table, separators, slices, split_words, text_bytes, trimmed
 
 #: Hash buckets of words (of beginnings as many); documents learned from at most (of about so many, by hash); decision.
 BUCKETS, SAMPLE_ROWS, THRESHOLD = 1 << 18, 12_000, 0.7
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
 
         scores, places = [], []
         batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string())], ["text"])
-        for b in slices(batch, "text", 1 << 20):
+        for b in slices(batch, "text", 1 << 18):
             data, offsets = text_bytes(b.column(0))
             p, row, first, s = held.value.documents(data, offsets)
             scores.append(p)
@@ -181,6 +181,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
             for i in np.flatnonzero(s >= THRESHOLD):
                 found[row[i]].append({"start": int(first[i] - offsets[row[i]]), "score": float(s[i])})
             places += found
+        give_back()
         return pd.DataFrame({"score": np.concatenate([*scores, np.zeros(0)]), "at": places})
 
     seen = docs.withColumn("_judged", judged(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

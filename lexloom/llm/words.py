@@ -14,7 +14,7 @@ U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes hashed at a time; a longer word makes its own piece longer.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -26,7 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << max(20, int(n).bit_length())
+    n = 1 << max(18, int(n).bit_length())
     if n not in _powers:
         _powers.clear()
         with np.errstate(over="ignore"):
@@ -39,12 +39,17 @@ def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
 
     def all_of(batches: Iterator) -> Iterator:
         yield from run(batches)
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
     return all_of
 
 
+def give_back() -> None:
+    """Memory that Python has freed goes back to the system, where the C library can do that."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lower_table() -> np.ndarray:
     t = np.arange(256, dtype=np.uint8)
     t[65:91] += 32
@@ -73,7 +78,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, name: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, name: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``most`` bytes, so that memory doesn't follow the batch."""
     column = batch.column(batch.schema.get_field_index(name))
     sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)) if len(column) else np.zeros(0)
