@@ -121,7 +121,7 @@ _encoders: dict[tuple[bytes, str], Encoder] = {}
 
 
 def _encoder(ranks: bytes, pattern: str) -> Encoder:
-    """A worker's encoder, kept between tasks."""
+    """A worker's encoder, kept through a task."""
     if (ranks, pattern) not in _encoders:
         _encoders[ranks, pattern] = Encoder(ranks, pattern)
     return _encoders[ranks, pattern]
@@ -149,6 +149,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 enc = _encoder(ranks.value, pattern)
                 ids = [enc.encode(t) for t in b.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0), _ids(ids), *([enc.decoded(ids)] if check else [])], names)
+        _encoders.clear()  # workers outlive their tasks and would keep it beside other stages' models
 
     def pieces(batches):
         for batch in batches:
@@ -162,6 +163,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         rows = sorted(table.select(["k", "text", "starts", "counts", "ids"]).to_pylist(), key=lambda r: r["k"])
         text = "".join(r["text"][:chunk] for r in rows)
         ids = enc.stitch([(np.array(r["starts"]), np.array(r["counts"], np.int64), r["ids"]) for r in rows], text)
+        enc.known.clear()
         return pa.table([table["doc_id"].slice(0, 1), _ids([ids]), *([enc.decoded([ids])] if check else [])], names)
 
     size = F.length("text")
