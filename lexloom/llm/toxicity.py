@@ -135,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     near = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, sample_rows / max(1, n)) * (1 << 30))
     chosen = marks.where(near)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(near)
-    rows = texts.join(chosen, "id").where("text is not null").select("id", "text", "y")
+    # chosen is the bounded sample's ids, so texts outside it are left behind before any shuffle
+    rows = texts.join(F.broadcast(chosen), "id").where("text is not null").select("id", "text", "y")
 
     def learn(batches):
         ids, texts, y = [], [], []
@@ -150,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         at = np.flatnonzero(m.weights)
         yield pa.RecordBatch.from_arrays([pa.array([at.tolist()], pa.list_(pa.int64())), pa.array([m.weights[at].tolist()], pa.list_(pa.float32())), pa.array([m.bias])], ["at", "w", "bias"])
 
-    got = rows.coalesce(1).mapInArrow(trimmed(learn), "at array<long>, w array<float>, bias double").collect()
+    got = rows.repartition(1).mapInArrow(trimmed(learn), "at array<long>, w array<float>, bias double").collect()
     if not got:
         return None
     w = np.zeros(KINDS * BUCKETS)
