@@ -17,7 +17,7 @@ from .scratch import small_batches
 from .words import U, give_back, hash_spans, lower_table, separators, slices, split_words, text_bytes, trimmed
 
 #: Hash buckets of words (of beginnings as many); documents learned from at most (of about so many, by hash); decision.
-BUCKETS, SAMPLE_ROWS, THRESHOLD = 1 << 18, 12_000, 0.7
+BUCKETS, SAMPLE_ROWS, THRESHOLD = 1 << 18, 9_000, 0.7
 #: A sentence has at least one byte that isn't an end; ends are full stop, exclamation and question mark and line break.
 #: Bytes of the word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6)
@@ -86,23 +86,27 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 30, rate: float = 0.
         sentences.append((s + sentences_so_far).astype(np.int32))
         kinds.append(k.astype(np.int32))
         docs_so_far, sentences_so_far = docs_so_far + b.num_rows, sentences_so_far + len(r)
-    row, sentence, ids = np.concatenate(rows), np.concatenate(sentences), np.concatenate(kinds, 1)
-    del rows, sentences, kinds
+    texts = len(texts)  # (the texts themselves are needed no more)
+    row, sentence = np.concatenate(rows), np.concatenate(sentences)
+    del rows, sentences
+    ids = np.concatenate(kinds, 1)
+    del kinds
+    give_back()
     keep = telling(row[sentence], ids, labels)
     number = np.cumsum(keep) - 1
     w, g, bias, gb = np.zeros(int(keep.sum()) + 1), np.full(int(keep.sum()) + 1, 1e-3), -4.0, 1e-3
     some = keep[ids].any(0)
     sentence, ids = sentence[some], ids[:, some]
     ids = np.where(keep[ids], number[ids], len(w) - 1)  # the last weight stays zero
-    blank = np.bincount(row, minlength=len(texts)) - np.bincount(row[np.unique(sentence)], minlength=len(texts))  # sentences without features
+    blank = np.bincount(row, minlength=texts) - np.bincount(row[np.unique(sentence)], minlength=texts)  # sentences without features
     sent, sentence = np.unique(sentence, return_inverse=True)
     row = row[sent]
-    first_s = np.searchsorted(row, np.arange(len(texts) + 1))
+    first_s = np.searchsorted(row, np.arange(texts + 1))
     first_w = np.searchsorted(sentence, np.arange(len(row) + 1))
     rng = np.random.default_rng(seed)
     ranges = lambda a, b: np.repeat(a - np.concatenate([[0], np.cumsum(b - a)[:-1]]), b - a) + np.arange((b - a).sum())
     for _ in range(epochs):
-        order = rng.permutation(len(texts))
+        order = rng.permutation(texts)
         for at in range(0, len(order), batch):
             docs = order[at : at + batch]
             span = ranges(first_s[docs], first_s[docs + 1])
@@ -146,6 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             y += b.column(2).to_pylist()
         if not texts or len(set(y)) < 2:
             return
+        give_back()
         order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
         m = fit([texts[i] for i in order], np.array(y)[order])
         at = np.flatnonzero(m.weights)
