@@ -191,8 +191,8 @@ def scrub_sensitive(spark, sf):
 
 @query("SELECT o_orderkey, 'u' || o_custkey \"user\", CAST(o_orderkey % 30 + 1 AS INT) billable_pages, CAST((o_orderkey % 30 + 1) / 10.0 AS DOUBLE) cost FROM orders")
 def receipt_fields(spark, sf):
-    r = F.concat(F.lit("<b>PACER</b> Login: u"), F.col("o_custkey"), F.lit(" Client Code: <i>x</i> Description: Docket Report Search Criteria: "), F.col("o_orderkey"), F.lit(" Billable Pages: "), F.col("o_orderkey") % 30 + 1, F.lit(" Cost: "), F.format_string("%.2f", (F.col("o_orderkey") % 30 + 1) / F.lit(10.0)))
-    return read(spark, sf, "orders").select("o_orderkey", T.receipt(F.replace(r, F.lit("PACER"), F.lit("Site"))).alias("r")).select("o_orderkey", "r.user", "r.billable_pages", F.col("r.cost").cast("double").alias("cost"))
+    r = F.concat(F.lit("<b>Site</b> Login: u"), F.col("o_custkey"), F.lit(" Client Code: <i>x</i> Description: Docket Report Search Criteria: "), F.col("o_orderkey"), F.lit(" Billable Pages: "), F.col("o_orderkey") % 30 + 1, F.lit(" Cost: "), F.format_string("%.2f", (F.col("o_orderkey") % 30 + 1) / F.lit(10.0)))
+    return read(spark, sf, "orders").select("o_orderkey", T.receipt(r).alias("r")).select("o_orderkey", "r.user", "r.billable_pages", F.col("r.cost").cast("double").alias("cost"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') filed, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') END closed FROM orders WHERE year(o_orderdate) >= 2000")
