@@ -51,10 +51,12 @@ def welch(outcomes: DataFrame, court: str = "court", judge: str = "judge", value
     and degrees of freedom. The others' sums are the court's less the judge's, so no pair of judges is formed."""
     j = outcomes.groupBy(court, judge).agg(F.count("*").cast("double").alias("n"), F.sum(F.col(value).cast("double")).alias("s"), F.sum(F.col(value).cast("double") * F.col(value)).alias("q"))
     c = j.groupBy(court).agg(F.sum("n").alias("cn"), F.sum("s").alias("cs"), F.sum("q").alias("cq"))
-    x = j.join(c, court).where("cn > n").select(court, judge, "n", (F.col("cn") - F.col("n")).alias("m"), (F.col("s") / F.col("n")).alias("a"), ((F.col("cs") - F.col("s")) / (F.col("cn") - F.col("n"))).alias("b"), "q", "cq")
-    x = x.withColumn("va", F.greatest(F.col("q") / F.col("n") - F.col("a") * F.col("a"), F.lit(0.0)) / F.col("n")).withColumn("vb", F.greatest((F.col("cq") - F.col("q")) / F.col("m") - F.col("b") * F.col("b"), F.lit(0.0)) / F.col("m"))
+    per = F.try_divide  # filters may be moved below these divisions, so none of them may fail
+    x = j.join(c, court).where("cn > n").select(court, judge, "n", (F.col("cn") - F.col("n")).alias("m"), per(F.col("s"), F.col("n")).alias("a"), per(F.col("cs") - F.col("s"), F.col("cn") - F.col("n")).alias("b"), "q", "cq")
+    x = x.withColumn("va", per(F.greatest(per(F.col("q"), F.col("n")) - F.col("a") * F.col("a"), F.lit(0.0)), F.col("n"))).withColumn("vb", per(F.greatest(per(F.col("cq") - F.col("q"), F.col("m")) - F.col("b") * F.col("b"), F.lit(0.0)), F.col("m")))
     v = F.col("va") + F.col("vb")
-    return x.where(v > 0).where("n > 1 and m > 1").select(court, judge, (F.col("a") - F.col("b")).alias("diff"), F.sqrt(v).alias("se"), (v * v / (F.col("va") * F.col("va") / (F.col("n") - 1) + F.col("vb") * F.col("vb") / (F.col("m") - 1))).alias("df"))
+    df = per(v * v, per(F.col("va") * F.col("va"), F.col("n") - 1) + per(F.col("vb") * F.col("vb"), F.col("m") - 1))
+    return x.where(v > 0).where("n > 1 and m > 1").select(court, judge, (F.col("a") - F.col("b")).alias("diff"), F.sqrt(v).alias("se"), df.alias("df"))
 
 
 def court_variation(outcomes: DataFrame, level: float = 0.975, **names: str) -> DataFrame:
