@@ -139,8 +139,22 @@ def _bucket(word: str, n: int, salt: str) -> int:
 _path_of: dict[str, int] = {}
 
 
+class _Words(dict):
+    """Buckets of words, of so many at a time."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        self[word] = k = _bucket(word, WORDS, "w")
+        return k
+
+
+_word_of = _Words()
+
+
 def vectors(page: list[tuple[str, tuple[str, ...], int]], hide: np.random.Generator | None = None) -> np.ndarray:
-    """The input of each block: hashed path, hashed words, measures. hide: leaves path words out at random, page by page."""
+    """The input of each block: hashed path, hashed words, measures. All words of a block count, each bucket by the root of its
+    share of them, so that long blocks do not saturate. hide: leaves path words out at random, page by page."""
     x = np.zeros((len(page), PATH + WORDS + MEASURES), np.float32)
     gone: dict[str, bool] = {}
     for i, (text, path, links) in enumerate(page):
@@ -153,12 +167,10 @@ def vectors(page: list[tuple[str, tuple[str, ...], int]], hide: np.random.Genera
                     _path_of.clear()
                 k = _path_of[w] = _bucket(w, PATH, "p")
             x[i, k] = 1
-        words = text[:4000].lower().split()
-        for w in words[:40]:
-            x[i, PATH + _bucket(w, WORDS, "w")] += 1
-        x[i, PATH : PATH + WORDS] = np.minimum(x[i, PATH : PATH + WORDS], 3) / 3
+        words = text.lower().split()
+        x[i, PATH : PATH + WORDS] = np.sqrt(np.bincount([_word_of[w] for w in words], minlength=WORDS) / max(1, len(words))) / 3
         n = len(text)
-        x[i, -MEASURES:] = (min(np.log1p(n) / 7, 1.5), min(links / max(n, 1), 1), i / max(1, len(page)), (len(page) - i) / max(1, len(page)), text[-1] in ".!?:;\"”»", "©" in text or "@" in text, min(len(words), 100) / 100)
+        x[i, -MEASURES:] = (np.log1p(n) / 7, min(links / max(n, 1), 1), i / max(1, len(page)), (len(page) - i) / max(1, len(page)), text[-1] in ".!?:;\"”»", "©" in text or "@" in text, np.log1p(len(words)) / 5)
     return x
 
 

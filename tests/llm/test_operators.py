@@ -203,6 +203,23 @@ def test_html_text(spark):
     assert got[100].text == got[101].text == "" and got[100].n_chars == 0
 
 
+def test_html_vectors_see_whole_blocks():
+    opening = " ".join(f"w{i}" for i in range(40))
+    at = [html_text.vectors([(t, ("p",), 0)])[0] for t in (opening + " notice" * 30, opening + " article" * 30, opening + " notice" * 2000, opening + " notice" * 2000 + " article" * 500, " ".join([opening] * 3), " ".join([opening] * 6))]
+    words = slice(html_text.PATH, html_text.PATH + html_text.WORDS)
+    assert html_text._bucket("notice", html_text.WORDS, "w") != html_text._bucket("article", html_text.WORDS, "w")
+    assert (at[0][words] != at[1][words]).any() and (at[2][words] != at[3][words]).any()  # the second pair differs after 14,000 characters
+    assert np.allclose(at[4][words], at[5][words]) and at[4][-1] < at[5][-1]  # shares do not grow with the length, the measure of words does
+
+
+def test_html_label_is_decided_by_late_words():
+    opening = " ".join(f"w{i % 7}" for i in range(60))
+    page = lambda w: [(f"{opening} {w * 40}", ("p",), 0)]
+    pairs = [(html_text.vectors(page(w)), np.array([y])) for w, y in (("notice ", 0.0), ("article ", 1.0))] * 256
+    low, high = html_text.Labeller().fit(pairs).label([x for x, _ in pairs[:2]])
+    assert low[0] < 0.5 <= high[0]
+
+
 def test_quality(spark):
     rows = [(i, EN * 3 if i % 3 else "$$ 123 !! " * 20, "en", f"s{i % 4}", 0) for i in range(300)] + [(500, None, None, None, 0)]
     labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(300)], "doc_id long, quality int, toxic int")
