@@ -20,6 +20,8 @@ from .words import slices, trimmed
 
 #: Characters of a chunk, and by how many the next one is overlapped; texts over LONG are dealt to several tasks.
 CHUNK, OVERLAP, LONG = 1 << 15, 256, 1 << 16
+#: Last pre-tokens of a cut chunk that the rest of the text may change: "'l" is two pre-tokens at an end, but one of "'ll".
+UNSURE = 2
 #: Pre-tokens whose ids a worker remembers.
 REMEMBERED = 1 << 17
 
@@ -65,8 +67,8 @@ class Encoder:
         while at < len(text):
             end = min(len(text), at + CHUNK)
             pieces = self.pattern.findall(text[at:end])
-            if end < len(text) and len(pieces) > 1:
-                pieces.pop()  # it may go on in the next chunk, which starts at this true boundary
+            if end < len(text) and len(pieces) > UNSURE:
+                del pieces[-UNSURE:]  # they may be cut otherwise with the next chunk, which starts at this true boundary
             elif end < len(text):
                 pieces = [self.pattern.match(text, at)[0]]
             out.append(b"".join(map(self.known.__getitem__, pieces)))
@@ -75,10 +77,10 @@ class Encoder:
 
     def chunk(self, text: str, at: int, last: bool) -> tuple[np.ndarray, np.ndarray, bytes]:
         """A chunk that starts at ``at`` in its text: starts of its pre-tokens (and the end of the last), the number of ids of
-        each, the ids. Without what touches the chunk's end, unless the text ends there too."""
+        each, the ids. Without what the chunk's end may have changed, unless the text ends there too."""
         found = self.pattern.findall(text)
-        if not last and found:
-            found.pop()
+        if not last:
+            del found[-UNSURE:]
         ids = [self.known[p] for p in found]
         starts = at + np.concatenate([[0], np.cumsum([len(p) for p in found])]).astype(np.int64)
         return starts, np.array([len(x) // 4 for x in ids], np.int64), b"".join(ids)

@@ -124,6 +124,42 @@ def test_bpe_round_trip(spark):
     assert bpe.encode(docs(spark, []), path, P.PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"long": 200, "chunk": 90, "overlap": 12}])
+def test_bpe_contractions_at_chunk_ends(spark, options):
+    import base64
+
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}, special_tokens={})
+    if options:  # a text is dealt as chunks, of which the first ends after 102 characters
+        texts = ["x" * k + f"{EN}we{c} {EN * 4}" for c in ("'ll", "'re", "'ve", "'s", " \n \n ", "!'ll") for k in range(25, 50)]
+    else:
+        texts = ["x" * (bpe.CHUNK - 5 + k) + f" we{c} {EN}" for c in ("'ll", "'re", "'ve", "'s", " \n \n ", "!'ll") for k in range(-8, 6)]
+    got = {r.doc_id: r.ids for r in bpe.encode(docs(spark, texts), path, P.PATTERN, **options).collect()}
+    assert [i for i, t in enumerate(texts) if got[i] != enc.encode_ordinary(t)] == []
+
+
+def test_bpe_chunks_by_force(monkeypatch):
+    import tiktoken
+
+    ranks = {bytes([i]): i for i in range(256)} | {b"ll": 256, b"'ll": 257, b"  ": 258, b" a": 259}
+    whole = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    import base64
+
+    enc = bpe.Encoder(b"\n".join(base64.b64encode(k) + b" %d" % v for k, v in ranks.items()), P.PATTERN)
+    rng = np.random.default_rng(0)
+    for size in (3, 7, 12):
+        monkeypatch.setattr(bpe, "CHUNK", size)
+        for _ in range(1500):
+            text = "".join("a1'llrve  \n!é"[i] for i in rng.integers(0, 13, rng.integers(1, 60)))
+            want = whole.encode_ordinary(text)
+            assert np.frombuffer(enc.encode(text), np.int32).tolist() == want
+            n = len(text)
+            dealt = [enc.chunk(text[k : k + size + 5], k, k + size >= n) for k in range(0, n, size)]
+            assert np.frombuffer(enc.stitch(dealt, text), np.int32).tolist() == want
+
+
 def test_sharding(spark):
     texts = ["same"] * 60 + ["pair a", "pair a", "pair b", "pair b", None, ""] + [f"text {i}" for i in range(91)]
     rows = sharding.balanced_shards(docs(spark, texts).withColumn("shard", F.lit(9))).collect()
