@@ -84,6 +84,18 @@ def case_flagged_any(spark, sf):
     return search.cases_flagged(read(spark, sf, "conversations"), "the an", "conv_id", limit=300)
 
 
+@query(f"""SELECT conv_id, turn, role, substr(text, 1, 100) excerpt, {_at('text', 'the [a-z]+')[0]} a_start, {_at('text', 'the [a-z]+')[1]} a_end,
+ {_at('text', '[?]')[0]} q_start FROM conversations WHERE regexp_matches(text, '(?i)(?:order)|(?:the [a-z]{{5,8}}ing)|(?:le )')""")
+def docket_search_whole(spark, sf):
+    out = search.search_docket(read(spark, sf, "conversations"), {"a": "the [a-z]+", "q": "[?]"}, _NET, meta=["conv_id", "turn", "role"])
+    return out.select("conv_id", "turn", "role", "excerpt", F.col("a.start").alias("a_start"), F.col("a.end").alias("a_end"), F.col("q.start").alias("q_start"))
+
+
+@query("SELECT conv_id, bool_or(coalesce(regexp_matches(text, '(?i)the an'), false)) flagged FROM conversations GROUP BY conv_id")
+def case_flagged_any_whole(spark, sf):
+    return search.cases_flagged(read(spark, sf, "conversations"), "the an", "conv_id")
+
+
 @query("SELECT doc_id FROM documents WHERE regexp_matches(text, '\\([a-z, ]{3,20}\\)')")
 def court_motions(spark, sf):
     return search.court_motions(read(spark, sf, "documents")).select("doc_id")
