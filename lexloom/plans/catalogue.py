@@ -201,6 +201,20 @@ def scrub_sensitive(spark, sf):
     return read(spark, sf, "documents").select("doc_id", T.scrub_sensitive(t).alias("scrubbed"))
 
 
+def _blanked(text: str) -> str:
+    """SQL: a blank for each character of a number, one replacement for each form, as DuckDB cannot repeat by a match's length."""
+    forms = [(f"{w}{h}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}", "[^0-9]", n + len(h) + 11) for w, n in (("ssn: ", 5), ("ssn:", 4), ("ssn ", 4), ("ssn", 3), ("", 0)) for h in ("#", "")]
+    for pattern, edge, n in [*forms, *((f"[aA][0-9]{{{k}}}", "[^0-9A-Za-z]", k + 1) for k in (8, 9))]:
+        text = f"regexp_replace({text}, '({edge}){pattern}({edge})', '\\1{' ' * n}\\2', 'g')"
+    return text
+
+
+@query(f"SELECT doc_id, {_blanked("'q 987-65-4321 ' || text || ' x 123-45-6789 y A12345678 z ssn 1234-56 w ssn: #123-45-6789.'")} scrubbed FROM documents")
+def scrub_sensitive_whole(spark, sf):
+    t = F.concat(F.lit("q 987-65-4321 "), "text", F.lit(" x 123-45-6789 y A12345678 z ssn 1234-56 w ssn: #123-45-6789."))
+    return read(spark, sf, "documents").select("doc_id", T.scrub_sensitive(t).alias("scrubbed"))
+
+
 @query("SELECT o_orderkey, 'u' || o_custkey \"user\", CAST(o_orderkey % 30 + 1 AS INT) billable_pages, CAST((o_orderkey % 30 + 1) / 10.0 AS DOUBLE) cost FROM orders")
 def receipt_fields(spark, sf):
     r = F.concat(F.lit("<b>Site</b> Login: u"), F.col("o_custkey"), F.lit(" Client Code: <i>x</i> Description: Docket Report Search Criteria: "), F.col("o_orderkey"), F.lit(" Billable Pages: "), F.col("o_orderkey") % 30 + 1, F.lit(" Cost: "), F.format_string("%.2f", (F.col("o_orderkey") % 30 + 1) / F.lit(10.0)))
@@ -433,6 +447,14 @@ def redact_spans(spark, sf):
     return spans.select("conv_id", "turn", parties.redact(F.col("text"), F.col("spans")).alias("redacted"))
 
 
+@query("""SELECT conv_id, turn, regexp_replace(regexp_replace('Bob Ray: ' || text || ' Ada Byron met Bob Ray, then Ada Byron.', '(?i)\\bAda Byron\\b', '[P]', 'g'), '(?i)\\bBob Ray\\b', '[Q]', 'g') redacted FROM conversations""")
+def redact_spans_whole(spark, sf):
+    e = read(spark, sf, "conversations").select("conv_id", "turn", F.concat(F.lit("Bob Ray: "), "text", F.lit(" Ada Byron met Bob Ray, then Ada Byron.")).alias("text"))
+    names = e.select("conv_id").distinct().withColumn("n", F.explode(F.array(F.struct(F.lit("Ada Byron").alias("name"), F.lit("[P]").alias("label")), F.struct(F.lit("Bob Ray").alias("name"), F.lit("[Q]").alias("label"))))).select("conv_id", "n.*")
+    spans = parties.name_spans(e.where("text is not null"), names, ["conv_id"]).groupBy("conv_id", "turn", "text").agg(F.collect_list(F.struct("start", "end", "label")).alias("spans"))
+    return spans.select("conv_id", "turn", parties.redact(F.col("text"), F.col("spans")).alias("redacted"))
+
+
 # --- fetch planning -----------------------------------------------------------------------------------------------------
 
 
@@ -522,7 +544,7 @@ def html_header(spark, sf):
 
 @query("SELECT page_id, 'open' status, 'Ann ' || page_id party_name FROM pages")
 def summary_kv(spark, sf):
-    page = F.concat(F.lit("<ul><li>Status: open</li><li>Party  Name: Ann "), F.col("page_id").cast("string"), F.lit(" </li></ul><p>no label</p>"))
+    page = F.concat(F.lit("<ul><li>Status: open</li><li>Party  Name: Ann "), F.col("page_id").cast("string"), F.lit(" </li></ul><p>no label</p>"), F.coalesce("html", F.lit("")))
     return read(spark, sf, "pages").select("page_id", H.summary_pairs(page).alias("m")).select("page_id", F.col("m")["status"].alias("status"), F.col("m")["party_name"].alias("party_name"))
 
 
