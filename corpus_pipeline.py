@@ -15,9 +15,10 @@ from lexloom.llm.scratch import Scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no text or no letter) go; a missing language is filled in."""
+    """Documents whose language can't be told (no text or no letter) go. The others have the language that their
+    text is predicted to have; what was stated before only trains the model."""
     seen = language_id.predict(docs, language_id.train(docs)).where("lang_pred <> 'und'")
-    return seen.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return seen.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

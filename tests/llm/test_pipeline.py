@@ -27,3 +27,12 @@ def test_stages(spark, tmp_path):
     assert set(kept["jaccard_join"]) == clean | {303} == set(kept["decontamination"]) == set(kept["byte_bpe"])
     assert kept["decontamination"][303].text == "Some start some end of it" and kept["decontamination"][303].n_chars == 25
     assert len(corpus_pipeline.run(spark, str(tmp_path)).collect()) == len(clean) + 1
+
+
+def test_language_stage_decides(spark):
+    de = "das haus von dem alten mann war bei dem fluss und den baeumen "
+    rows = [(i, (EN if i % 2 else de) * (1 + i % 5), "en" if i % 2 else "de", "s", 0) for i in range(80)]
+    rows += [(100, EN * 3, "de", "s", 0), (101, de * 3, None, "s", 0), (102, "12", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert got == {i: "en" if i % 2 else "de" for i in range(80)} | {100: "en", 101: "de"}
