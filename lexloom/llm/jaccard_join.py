@@ -267,7 +267,17 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     return out.select("doc_id", "n_shingles", F.when(lone | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+#: Column of the rows' own keys.
+ROW = "lexloom_row"
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs without those that an earlier id's group already stands for: the smallest id of each group stays."""
-    groups = jaccard_groups(docs, id_col=id_col, **options).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(groups, id_col, "left_anti")
+    """docs without those rows that another row's group already stands for: of each group the row of smallest id stays, one
+    of them if the id is repeated, and one with a null id only if all of the group have none. Rows are told apart by a key of
+    their own, so repeated and null ids are rows like any other."""
+    keyed = Scratch(docs.sparkSession, "copies").write(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    groups = jaccard_groups(keyed, id_col=ROW, **options).select(F.col("doc_id").alias(ROW), "component_id")
+    named = groups.join(keyed.select(ROW, F.col(id_col).alias("id")), ROW)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", ROW))[ROW]
+    stay = named.groupBy("component_id").agg(first.alias(ROW)).select(ROW)
+    return keyed.join(stay, ROW, "left_semi").select(*docs.columns)

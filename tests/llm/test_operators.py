@@ -67,6 +67,15 @@ def test_one_of_each_keeps_columns(spark):
     assert sorted(r.doc_id for r in out.collect()) == [0, 3] and sorted(out.columns) == sorted(docs(spark, []).columns)
 
 
+def test_one_of_each_by_row(spark):
+    a, b, c = "a b c d e f", "q r s t u v", "g h i j k l"
+    rows = [(None, a), (None, a), (1, b), (1, b), (0, c), (2, c), (2, "m n o p q r"), (None, c), (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    out = jaccard_join.one_of_each(df)
+    assert sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == sorted((str(i), str(t)) for i, t in [(None, a), (1, b), (0, c), (2, "m n o p q r"), (None, None), (None, "")])
+    assert out.columns == df.columns
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (7, None)], "src long, dst long")
     got = {r.node: r.component for r in components.connected_components(spark, edges, Scratch(spark, "t")).collect()}
