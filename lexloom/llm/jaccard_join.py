@@ -31,6 +31,8 @@ from .words import U, mix, slices, text_bytes, trimmed
 
 #: Up to so many ids of documents are broadcast as a filter (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Sets that a task remembers to have signed, so that copies are signed once; then it forgets them, which costs rows only.
+SEEN = 1_000_000
 
 
 class Plan(NamedTuple):
@@ -121,36 +123,45 @@ def signatures(row: np.ndarray, shingle: np.ndarray, size: np.ndarray, num: int,
             yield r[near], _finish((slo[a] - lo[near]).astype(np.int64), (shi[a] - hi[near]).astype(np.int64), cnt[a] - 1, segment[a], g[a])
 
 
-def _sizes(docs: DataFrame, width: int) -> DataFrame:
+def _sizes(docs: DataFrame, width: int, salt: int = 0) -> DataFrame:
     def run(batches):
         for batch in batches:
             for b in slices(batch, "text"):
                 row, s = shingle_sets(*text_bytes(b.column(1)), width)
-                size, fp = fingerprints(row, s, b.num_rows)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(fp.view(np.int64))], ["doc_id", "n_shingles", "cls"])
+                size, fp, proof = fingerprints(row, s, b.num_rows, salt)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(fp.view(np.int64)), pa.array(proof.view(np.int64))], ["doc_id", "n_shingles", "cls", "proof"])
 
-    return docs.mapInArrow(trimmed(run), "doc_id long, n_shingles long, cls long")
+    return docs.mapInArrow(trimmed(run), "doc_id long, n_shingles long, cls long, proof long")
 
 
-def _signed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def _signed(docs: DataFrame, width: int, num: int, den: int, salt: int = 0) -> DataFrame:
     def run(batches):
+        seen: set[int] = set()  # sets that this task has signed: copies are dropped before the shuffle
         for batch in batches:
             for b in slices(batch, "text"):
                 row, s = shingle_sets(*text_bytes(b.column(1)), width)
-                size, fp = fingerprints(row, s, b.num_rows)
+                size, fp, _ = fingerprints(row, s, b.num_rows, salt)
                 fp = fp.view(np.int64)
-                for owner, sig in signatures(row, s, size, num, den):
+                if len(seen) > SEEN:
+                    seen.clear()
+                new = np.zeros(len(fp), bool)
+                for i, f in enumerate(fp.tolist()):
+                    if f not in seen:
+                        seen.add(f)
+                        new[i] = True
+                mine = new[row]
+                for owner, sig in signatures(row[mine], s[mine], np.where(new, size, 0), num, den):
                     yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(fp[owner])], ["sig", "cls"])
 
     return docs.mapInArrow(trimmed(run), "sig long, cls long")
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
+def _sets(docs: DataFrame, width: int, salt: int = 0) -> DataFrame:
     def run(batches):
         for batch in batches:
             for b in slices(batch, "text"):
                 row, s = shingle_sets(*text_bytes(b.column(1)), width)
-                size, fp = fingerprints(row, s, b.num_rows)
+                size, fp, _ = fingerprints(row, s, b.num_rows, salt)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(s.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), lists], ["cls", "tokens"])
 
@@ -180,11 +191,11 @@ def _stars(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, pivot, cls)], ["sig", "pivot", "cls"])
 
 
-def _sets_of(wanted: DataFrame, docs: DataFrame, sizes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+def _sets_of(wanted: DataFrame, docs: DataFrame, sizes: DataFrame, width: int, scratch: Scratch, salt: int = 0) -> DataFrame:
     """(cls, tokens) of the wanted (cls) sets, from one document each."""
     first = scratch.write(sizes.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
     ids = F.broadcast(first) if first.count() <= BROADCAST_IDS else first
-    sets = scratch.write(_sets(docs.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["cls"]))
+    sets = scratch.write(_sets(docs.join(ids, "doc_id", "left_semi"), width, salt).dropDuplicates(["cls"]))
     scratch.drop(first)
     return sets
 
@@ -212,6 +223,77 @@ def _hopeful(sets: DataFrame, num: int, den: int, scratch: Scratch, rounds: int
     return facts
 
 
+def _spokes(num: int, den: int):
+    """Of rows (centre, c, cls, component, x, df): the tokens that tell a set x from its signatures' centre c and that another
+    set must share to be similar to it, as (centre, token, cls, component, linked, n, d, slack, pos, few).
+
+    With D = the symmetric difference of a set and the centre, two sets differ in |Dx| + |Dy| - 2|Dx & Dy| tokens. J >= t asks
+    for at most (1-t)/(1+t) * (|x|+|y|), so for |Dx & Dy| >= (slack x + slack y) / 2(den+num) with slack = (den+num)|D| -
+    (den-num)|x|. A set is linked to its centre where slack <= (den-num)|c|, and no set has less than -(den-num)|c|; two sets of
+    different components are not both linked, so their D's meet, and in the first tokens of an order that both have in common:
+    first what the centre lacks, rare tokens first, then what it has, common tokens first. ``few`` is how many of the first
+    tokens are enough for two sets neither of which is linked."""
+    up, down = den + num, den - num
+
+    def run(batches):
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[] for _ in range(10)]
+            held = 0
+            for r in range(batch.num_rows):
+                row = batch.slice(r, 1)
+                c, x = (np.asarray(row.column(i).flatten().to_numpy(), np.int64) for i in (1, 4))
+                cd, xd = (np.asarray(row.column(i).flatten().to_numpy(), np.int64) for i in (2, 5))
+                new, lost = ~np.isin(x, c), ~np.isin(c, x)
+                d, n = int(new.sum() + lost.sum()), len(x)
+                slack = up * d - down * n
+                linked = slack <= down * len(c)
+                few = d - max(1, -(-(slack + down * len(c) + 1) // (2 * up))) + 1
+                most = few
+                if not linked and slack * num <= down * len(c) * (num + 2 * den):  # some linked set may be within reach
+                    most = d - max(1, -(-(slack - down * len(c)) // (2 * up))) + 1
+                if most <= 0:
+                    continue
+                i, j = np.lexsort((x[new], xd[new])), np.lexsort((c[lost], -cd[lost]))
+                token = np.concatenate([x[new][i], c[lost][j]])[:most]
+                alone = np.concatenate([xd[new][i] <= 1, np.zeros(len(j), bool)])[:most]
+                pos = np.flatnonzero(~alone)
+                k = len(pos)
+                if k:
+                    for at, v in enumerate((row.column(0)[0].as_py(), None, row.column(3)[0].as_py(), row.column(6)[0].as_py(), linked, n, d, slack, None, few)):
+                        out[at].append(token[pos] if at == 1 else pos if at == 8 else np.full(k, v))
+                    held += k
+                if held > 1 << 18 or (held and r == batch.num_rows - 1):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out], ["centre", "token", "cls", "component", "linked", "n", "d", "slack", "pos", "few"])
+                    out, held = [[] for _ in range(10)], 0
+
+    return run
+
+
+def _residual(mixed: DataFrame, centres: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Candidate pairs (a, b) of sets in different components of mixed (sig, cls, component): all that can be similar."""
+    facts = _hopeful(sets.join(mixed.select("cls").distinct(), "cls", "left_semi"), num, den, scratch)
+    spokes = mixed.join(facts.select("cls"), "cls", "left_semi").join(centres, "sig").where("cls <> centre").select("centre", "cls", "component").distinct()
+    spokes = scratch.write(spokes)
+    torn = spokes.groupBy("centre").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("centre")
+    hopeful = sets.join(spokes.select("cls").distinct(), "cls", "left_semi")
+    often = hopeful.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    wanted = spokes.select("cls").union(torn.select(F.col("centre").alias("cls"))).distinct()
+    loose = sets.join(wanted, "cls", "left_semi").select("cls", F.explode("tokens").alias("token"))
+    ranked = scratch.write(loose.join(often, "token", "left").groupBy("cls").agg(F.collect_list(F.struct("token", F.coalesce("df", F.lit(0)).alias("df"))).alias("t")).select("cls", F.col("t.token").alias("x"), F.col("t.df").alias("xd")))
+    c = ranked.select(F.col("cls").alias("centre"), F.col("x").alias("c"), F.col("xd").alias("cd"))
+    rows = spokes.join(torn, "centre", "left_semi").join(ranked, "cls").join(c, "centre").select("centre", "c", "cd", "cls", "x", "xd", "component")
+    marks = scratch.write(rows.mapInArrow(trimmed(_spokes(num, den)), "centre long, token long, cls long, component long, linked boolean, n long, d long, slack long, pos long, few long"))
+    x, y = (marks.select("centre", "token", *(F.col(k).alias(f"{k}_{s}") for k in ("cls", "component", "linked", "n", "d", "slack", "pos", "few"))) for s in "xy")
+    sized = (F.col("n_x") * den >= F.col("n_y") * num) & (F.col("n_y") * den >= F.col("n_x") * num)
+    soon = F.col("linked_x") | F.col("linked_y") | ((F.col("pos_x") < F.col("few_x")) & (F.col("pos_y") < F.col("few_y")))
+    rest = F.least(F.col("d_x") - F.col("pos_x"), F.col("d_y") - F.col("pos_y"))  # tokens that two sets can share from their first shared one on
+    enough = rest * (2 * (den + num)) >= F.col("slack_x") + F.col("slack_y")
+    met = x.join(y, ["centre", "token"]).where((F.col("component_x") < F.col("component_y")) & sized & soon & enough)
+    out = scratch.write(met.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct())
+    scratch.drop(spokes, ranked, marks, facts)
+    return out
+
+
 def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, n_shingles long, component_id long): the groups of documents chained by J >= num/den over the sets of
     their distinct ``width``-word shingles.
@@ -222,23 +304,28 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     capped or sampled. Shingles are compared by 64-bit hashes.
 
     First every signature's sets are checked against its most shared one, which settles groups of near copies in linear time.
-    Then only pairs of sets in different components can add a link: of those, every pair that shares enough signatures is
-    checked too, unless the tokens that a set shares with no other candidate rule it out, so the result is exact.
+    Then only pairs of sets in different components can add a link, and such a pair must have something in common that the
+    centre of their signature hasn't, or lack the same of it: those tokens are joined, so sets that merely derive from one text
+    never meet, and the result is exact.
     """
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "jaccard")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sizes = scratch.write(_sizes(docs, width))
+    salt, sizes = 0, scratch.write(_sizes(docs, width))
+    while sizes.groupBy("cls").agg(F.min("proof").alias("lo"), F.max("proof").alias("hi")).where("lo <> hi").limit(1).count():
+        scratch.drop(sizes)  # two sets of equal fingerprints, told apart by a second one: other fingerprints
+        salt += 1
+        sizes = scratch.write(_sizes(docs, width, salt))
     known = docs.where("doc_id is not null")
-    stars = scratch.write(_signed(known, width, num, den).repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(trimmed(_stars), "sig long, pivot long, cls long"))
+    stars = scratch.write(_signed(known, width, num, den, salt).repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(trimmed(_stars), "sig long, pivot long, cls long"))
     members = scratch.write(stars.select("sig", "cls").union(stars.select("sig", F.col("pivot").alias("cls")).distinct()))
     scratch.drop(stars)
     # a text that others were made from shares all its signatures, they each lack some: it is the centre to check first
     weight = members.groupBy("cls").agg(F.count("*").alias("w"))
-    centres = members.join(weight, "cls").groupBy("sig").agg(F.max(F.struct("w", "cls")).alias("c")).select("sig", F.col("c.cls").alias("centre"))
+    centres = scratch.write(members.join(weight, "cls").groupBy("sig").agg(F.max(F.struct("w", "cls")).alias("c")).select("sig", F.col("c.cls").alias("centre")))
     pairs = scratch.write(members.join(centres, "sig").where("cls <> centre").select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct())
-    sets = _sets_of(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(), known, sizes, width, scratch)
+    sets = _sets_of(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(), known, sizes, width, scratch, salt)
     edges = _verified(pairs, sets, num, den, scratch)
     comps = connected_components(spark, edges, scratch)
 
@@ -246,17 +333,10 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     apart = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig")
     mixed = scratch.write(labelled.join(apart, "sig", "left_semi"))
     if mixed.limit(1).count():
-        facts = _hopeful(sets.join(mixed.select("cls").distinct(), "cls", "left_semi"), num, den, scratch)
-        single = [g for g, h in enumerate(bands(num, den, 1 << 12)[:-1]) if (p := allocate(int(h), num, den)) and p.need == 1]
-        left = scratch.write(mixed.join(facts, "cls"))
-        x, y = (left.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("cls", "component", "n", "most"))) for s in "xy")
-        fits = (F.col("component_x") < F.col("component_y")) & (F.col("n_x") <= F.col("most_y")) & (F.col("n_y") <= F.col("most_x")) & (F.col("n_x") * den >= F.col("n_y") * num) & (F.col("n_y") * den >= F.col("n_x") * num)
-        group = F.col("sig").bitwiseAND(F.lit((1 << GROUP_BITS) - 1))
-        often = x.join(y, "sig").where(fits).groupBy("cls_x", "cls_y", group.alias("grp")).agg(F.count("*").alias("k")).where(F.col("k") >= F.when(F.col("grp").isin(single), 1).otherwise(3))
-        more = often.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct()
-        found = _verified(scratch.write(more.join(pairs, ["a", "b"], "left_anti")), sets, num, den, scratch)
+        found = _verified(_residual(mixed, centres, sets, num, den, scratch).join(pairs, ["a", "b"], "left_anti"), sets, num, den, scratch)
         if found.limit(1).count():
             comps = connected_components(spark, edges.union(found), scratch)
+    scratch.drop(centres)
     scratch.drop(members, pairs, mixed, sets)
     least = sizes.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     grouped = least.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))

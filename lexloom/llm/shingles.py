@@ -45,12 +45,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple
     return row, s
 
 
-def fingerprints(row: np.ndarray, shingle: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Set size and 64-bit fingerprint of each of n rows; equal sets have equal ones, the empty set has 0."""
+def fingerprints(row: np.ndarray, shingle: np.ndarray, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Set size and two 64-bit fingerprints of each of n rows; equal sets have equal ones, the empty set has 0. The first
+    depends on the salt."""
     size = np.bincount(row, minlength=n)
-    out = np.zeros(n, U)
+    first, second = np.zeros(n, U), np.zeros(n, U)
     if len(row):
-        m, at = mix(shingle ^ U(0x8EBC6AF09C88C6E3)), np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         with np.errstate(over="ignore"):
-            out[row[at]] = mix(np.add.reduceat(m, at) + size[row[at]].astype(U))
-    return size, out
+            for out, key in ((first, U(0x8EBC6AF09C88C6E3) + U(salt) * U(0x9E3779B97F4A7C15)), (second, U(0x589965CC75374CC3))):
+                out[row[at]] = mix(np.add.reduceat(mix(shingle ^ key), at) + size[row[at]].astype(U))
+    return size, first, second
