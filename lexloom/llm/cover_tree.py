@@ -22,11 +22,14 @@ from .scratch import Scratch, small_batches
 
 #: Centres of the shared top; vectors of one block; sampled vectors for each centre.
 MAX_NODES, BLOCK, SAMPLE = 512, 4096, 16
-_SLACK = 1e-7  # bounds are used only with this to spare, so rounding never decides a pair
+#: Nodes or vectors of one side that are compared at a time.
+ROWS = 512
+# Bounds are used only with this to spare, so rounding never decides a pair; in blocks they are in single precision.
+_SLACK, _SINGLE = 1e-7, 2e-5
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, dim)
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -64,149 +67,184 @@ def _cover(u: np.ndarray, radius: float, within: np.ndarray | None = None) -> tu
     return np.array(centres, np.int64), owner
 
 
+def planted(x: np.ndarray, reach: float) -> np.ndarray:
+    """The tree of a block as a path for each vector: its node at each level, coarsest first, numbered so that a node's centre is
+    the first of what lies under it in the order of the paths; last 0 for the centre of a leaf and 1 for the others."""
+    u, nets = _unit(x), [1.0]
+    while nets[-1] > reach / 4:
+        nets.append(nets[-1] / 2)
+    centres, owner = _cover(u, nets[-1])
+    levels = [(centres, owner)]  # finest first: a coarser net is taken of the finer one's centres, so the nets are nested
+    for r in reversed(nets[:-1]):
+        fine = levels[-1][0]
+        picked, up = _cover(u[fine], r)
+        levels.append((fine[picked], up))
+    paths = np.ones((len(u), len(levels) + 1), np.int32)
+    paths[centres, -1] = 0
+    number = None
+    for at in range(len(levels) - 1, -1, -1):  # coarsest first
+        own = levels[at][0]
+        if number is None:
+            order = np.arange(len(own))
+        else:
+            above, up = levels[at + 1]
+            order = np.lexsort((own != above[up], number[up]))
+        number = np.empty(len(own), np.int64)
+        number[order] = np.arange(len(own))
+        node = levels[0][1]
+        for k in range(1, at + 1):
+            node = levels[k][1][node]
+        paths[:, len(levels) - 1 - at] = number[node]
+    return paths
+
+
 class Tree:
-    """Levels of one block, coarsest first. Level l has centres (rows of u), covering radii to all vectors below, sizes, and
-    for each node its parent at the level above; the last level's nodes list their vectors."""
-
-    def __init__(self, u: np.ndarray, reach: float):
-        self.u, radius, nets = u, 1.0, []
-        while radius > reach / 4:
-            nets.append(radius)
-            radius /= 2
-        centres, owner = _cover(u, nets[-1])
-        levels = [(centres, owner)]  # finest first: a coarser net is taken of the finer one's centres, so the nets are nested
-        for r in reversed(nets[:-1]):
-            fine = levels[-1][0]
-            picked, up = _cover(u[fine], r)
-            levels.append((fine[picked], up))
-        self.centres = [c for c, _ in levels][::-1]
-        self.parents = [up for _, up in levels[:0:-1]]  # parents[l]: of level l+1's nodes, at level l
-        leaf_of = levels[0][1]
-        self.order = np.argsort(leaf_of, kind="stable")
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(leaf_of, minlength=len(centres)))])
-        self.leaf_of, self.radii, self.sizes = leaf_of, [], []
-        node = leaf_of
-        for level in range(len(levels) - 1, -1, -1):
-            far = np.zeros(len(self.centres[level]))
-            np.maximum.at(far, node, np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", u, u[self.centres[level][node]]))))
-            self.radii.insert(0, far)
-            self.sizes.insert(0, np.bincount(node, minlength=len(far)))
-            if level:
-                node = self.parents[level - 1][node]
-
-
-def traverse(a: Tree, b: Tree, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Leaf pairs of two trees as (x, y) that may hold a pair within reach, and as (x, y) all of whose pairs are."""
-    x, y = (i.ravel() for i in np.meshgrid(np.arange(len(a.centres[0])), np.arange(len(b.centres[0])), indexing="ij"))
-    sure: list[tuple[np.ndarray, np.ndarray]] = []
+    """Levels of one block, or of a part of it, coarsest first. Level l has centres (rows of x), covering radii to all vectors
+    below, and for each node its parent at the level above; ``leaf_of`` has each vector's node of the last level. The vectors are
+    in the order of the tree, so that what lies under a node is a range at every level. A node whose centre is not among the
+    vectors has its first one for a centre."""
+
+    def __init__(self, x: np.ndarray, paths: np.ndarray):
+        self.order = np.lexsort(paths.T[::-1])
+        self.x, paths = x[self.order].astype(np.float64), paths[self.order]
+        self.length = np.sqrt((self.x * self.x).sum(1))
+        u = (self.x / self.length[:, None]).astype(np.float32)
+        self.single, self.centres, self.radii, self.parents = u, [], [], []
+        above = None
+        for path in paths.T[:-1]:
+            new = np.r_[True, path[1:] != path[:-1]]
+            first, number = np.flatnonzero(new), np.cumsum(new) - 1
+            far = np.zeros(len(u), np.float32)
+            rest = np.flatnonzero(~new)
+            gap = u[rest] - u[first[number[rest]]]
+            far[rest] = np.sqrt(np.einsum("ij,ij->i", gap, gap)) * np.float32(1 + 1e-5)
+            self.centres.append(first)
+            self.radii.append(np.maximum.reduceat(far, first))
+            self.parents.append(np.zeros(len(first), np.int64) if above is None else above[first])
+            above = number
+        self.leaf_of = number
+
+
+def traverse(a: Tree, b: Tree, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the leaves of two trees, as matrices: which pairs may hold a link, and which are linked throughout.
+
+    Each level opens only the children of pairs that the level above has kept, run by run of about ROWS nodes, so what is held
+    at a time is bounded by the block's size, however badly it prunes."""
+    kept, spare = np.ones((1, 1), bool), np.float32(_SINGLE + a.single.shape[1] * np.finfo(np.float32).eps)
     for level in range(len(a.centres)):
+        pa_, pb, ra, rb = a.parents[level], b.parents[level], a.radii[level], b.radii[level]
+        ca, cb = a.single[a.centres[level]], b.single[b.centres[level]]
         last = level == len(a.centres) - 1
-        keep_x, keep_y = [], []
-        for at in range(0, len(x), 1 << 20):
-            i, j = x[at : at + (1 << 20)], y[at : at + (1 << 20)]
-            ca, cb = a.u[a.centres[level]], b.u[b.centres[level]]
-            if len(i) * 4 > len(ca) * len(cb):
-                d = _apart(ca, cb)[i, j]
-            else:
-                d = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", ca[i], cb[j])))
-            bound = a.radii[level][i] + b.radii[level][j]
-            near = d - bound <= reach + _SLACK
-            whole = d + bound <= reach - _SLACK
-            if last and whole.any():
-                sure.append((i[whole], j[whole]))
-                near &= ~whole
-            keep_x.append(i[near])
-            keep_y.append(j[near])
-        x, y = np.concatenate(keep_x or [x]), np.concatenate(keep_y or [y])
-        if last:
+        new, sure = np.zeros((len(ca), len(cb)), bool), np.zeros((len(ca), len(cb)) if last else (0, 0), bool)
+        for lo in range(0, len(pa_), ROWS):
+            hi = min(lo + ROWS, len(pa_))
+            up = kept[pa_[lo] : pa_[hi - 1] + 1]
+            cols = np.flatnonzero(up.any(0)[pb])
+            if not len(cols):
+                continue
+            dot = ca[lo:hi] @ cb[cols].T
+            far = ra[lo:hi, None] + rb[cols]
+            near = dot >= (1 - spare) - (far + np.float32(reach)) ** 2 / 2
+            near &= up[pa_[lo:hi] - pa_[lo]][:, pb[cols]]
+            new[lo:hi, cols] = near
+            if last:
+                sure[lo:hi, cols] = near & (dot >= (1 + spare) - np.maximum(0, np.float32(reach) - far) ** 2 / 2)
+        kept = new
+    return kept & ~sure, sure
+
+
+def _joined(hit: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Edges (a node, one of the same component) that connect what a matrix of links between x and y connects."""
+    r, c = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
+    if not len(r):
+        return np.zeros((0, 2), np.int64)
+    hit = hit[r][:, c]
+    top = np.int32(len(r))
+    row, col = np.arange(len(r), dtype=np.int32), np.full(len(c), top)
+    while True:
+        col2 = np.minimum(col, np.where(hit, row[:, None], top).min(0))
+        row2 = np.minimum(row, np.where(hit, col2, top).min(1))
+        row2 = np.minimum(row2, row2[row2])
+        if (row2 == row).all() and (col2 == col).all():
             break
-        kids = []
-        for t in (a, b):
-            up = t.parents[level]
-            order = np.argsort(up, kind="stable")
-            kids.append((order, np.concatenate([[0], np.cumsum(np.bincount(up, minlength=len(t.centres[level])))])))
-        (ka, sa), (kb, sb) = kids
-        na, nb = (sa[1:] - sa[:-1])[x], (sb[1:] - sb[:-1])[y]
-        total = na * nb
-        pair = np.repeat(np.arange(len(x)), total)
-        step = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-        x, y = ka[sa[x[pair]] + step // nb[pair]], kb[sb[y[pair]] + step % nb[pair]]
-    si, sj = (np.concatenate(p) for p in zip(*sure, strict=True)) if sure else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return x, y, si, sj
-
-
-def block_links(xa: np.ndarray, ia: np.ndarray, wa: np.ndarray, xb: np.ndarray | None, ib: np.ndarray, wb: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        row, col = row2, col2
+    root = x[r]
+    return np.concatenate([np.column_stack([root, root[row]]), np.column_stack([y[c], root[col]])])
+
+
+def block_links(xa: np.ndarray, ia: np.ndarray, wa: np.ndarray, xb: np.ndarray | None, ib: np.ndarray, wb: np.ndarray, cosine: float, pa_: np.ndarray | None = None, pb: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list]:
     """Links within a block (xb None) or between two: for each vector the number of rows linked on the other side (w: rows of
-    each vector), and edges enough to connect what is linked."""
+    each vector; in its own block a vector counts its own rows too), and edges enough to connect what is linked. Paths are planted
+    where none are given."""
     reach = math.sqrt(2 - 2 * cosine)
-    a = Tree(_unit(xa), reach)
+    a = Tree(xa, planted(xa, reach) if pa_ is None else pa_)
     same = xb is None
-    b = a if same else Tree(_unit(xb), reach)
-    va = xa.astype(np.float64)
-    vb = va if same else xb.astype(np.float64)
-    la, lb = np.sqrt((va * va).sum(1)), np.sqrt((vb * vb).sum(1))
-    ca, cb = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)
-    x, y, si, sj = traverse(a, b, reach)
-    if same:
-        x, y = x[x <= y], y[x <= y]
-        si, sj = si[si <= sj], sj[si <= sj]
+    b = a if same else Tree(xb, planted(xb, reach) if pb is None else pb)
+    na, nb = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)
+    ia, wa, ib, wb = ia[a.order], wa[a.order], ib[b.order], wb[b.order]
+    open_, sure = traverse(a, b, reach)
+    if same:  # a leaf's radius is at most a quarter of the reach (half of it round another vector), so all of a leaf is linked
+        np.fill_diagonal(open_, False)
+        np.fill_diagonal(sure, True)
     edges = []
-    weight_a = np.bincount(a.leaf_of, weights=wa, minlength=len(a.centres[-1])).astype(np.int64)
-    weight_b = np.bincount(b.leaf_of, weights=wb, minlength=len(b.centres[-1])).astype(np.int64)
-    members = lambda t, i: t.order[t.starts[i] : t.starts[i + 1]]
-    add_a, add_b = np.zeros(len(weight_a), np.int64), np.zeros(len(weight_b), np.int64)
-    np.add.at(add_a, si, weight_b[sj])
-    off = si != sj if same else np.ones(len(si), bool)
-    np.add.at(add_a if same else add_b, sj[off], weight_a[si[off]])
-    ca += add_a[a.leaf_of]
-    cb += add_b[b.leaf_of]
-    if same:  # a leaf's radius is at most a quarter of the reach, so all of a leaf is linked
-        edges.append(np.column_stack([ia, ia[a.centres[-1][a.leaf_of]]]))
-    edges.append(np.column_stack([ia[a.centres[-1][si]], ib[b.centres[-1][sj]]]))
-    single = (a.starts[x + 1] - a.starts[x] == 1) & (b.starts[y + 1] - b.starts[y] == 1)
-    for at in range(0, int(single.sum()), 1 << 18):
-        i, j = a.order[a.starts[x[single][at : at + (1 << 18)]]], b.order[b.starts[y[single][at : at + (1 << 18)]]]
-        hit = np.einsum("ij,ij->i", va[i], vb[j]) / (la[i] * lb[j]) >= cosine
-        if same:
-            own = i[i == j]
-            np.add.at(ca, own, wa[own])  # a vector and its own copies
-            hit &= i != j
-        i, j = i[hit], j[hit]
-        np.add.at(ca, i, wb[j])
-        np.add.at(ca if same else cb, j, wa[i])
-        edges.append(np.column_stack([ia[i], ib[j]]))
-    for p, q in zip(x[~single], y[~single], strict=True):
-        i, j = members(a, p), members(b, q)
-        for at in range(0, len(i), 2048):
-            k = i[at : at + 2048]
-            hit = (va[k] @ vb[j].T) / (la[k][:, None] * lb[j]) >= cosine
-            if same and p == q:
-                hit[np.arange(len(k)), at + np.arange(len(k))] = True  # a vector and its own copies
-            ca[k] += hit @ wb[j]
-            if not (same and p == q):
-                (ca if same else cb)[j] += wa[k] @ hit
-            r, c = np.flatnonzero(hit.any(1)), hit.argmax(1)
-            edges.append(np.column_stack([ia[k[r]], ib[j[c[r]]]]))
-            c2 = np.flatnonzero(hit.any(0))
-            edges.append(np.column_stack([ia[k[hit.argmax(0)[c2]]], ib[j[c2]]]))
-    return ca, cb, weight_a, edges
-
-
-def _block_join(dim: int, cosine: float):
+    first_a, first_b = (np.searchsorted(t.leaf_of, np.arange(len(t.centres[-1]) + 1)) for t in (a, b))
+    rows_a, rows_b = np.add.reduceat(wa, first_a[:-1]), np.add.reduceat(wb, first_b[:-1])
+    heads_a, heads_b = ia[first_a[:-1]], ib[first_b[:-1]]
+    whole_a, whole_b = np.zeros(len(heads_a), np.int64), np.zeros(len(heads_b), np.int64)
+    for at in range(0, len(heads_a), ROWS):
+        part = sure[at : at + ROWS]
+        if part.any():
+            edges.append(_joined(part, heads_a[at : at + ROWS], heads_b))
+            part = part.astype(float)
+            whole_a[at : at + ROWS] = part @ rows_b
+            whole_b += (rows_a[at : at + ROWS] @ part).astype(np.int64)
+    ca, cb = whole_a[a.leaf_of], whole_b[b.leaf_of]
+    if same:
+        edges.append(np.column_stack([ia, heads_a[a.leaf_of]]))
+    else:  # leaves that are linked throughout
+        edges += [np.column_stack([ia, heads_a[a.leaf_of]])[ca > 0], np.column_stack([ib, heads_b[b.leaf_of]])[cb > 0]]
+    busy, at = np.flatnonzero(open_.any(1)), 0
+    while at < len(busy):  # runs of leaves of about ROWS vectors; a leaf of more is cut
+        end = at + 1
+        held = first_a[busy[at] + 1] - first_a[busy[at]]
+        while end < len(busy) and held + first_a[busy[end] + 1] - first_a[busy[end]] <= ROWS:
+            held += first_a[busy[end] + 1] - first_a[busy[end]]
+            end += 1
+        leaves = busy[at:end]
+        at = end
+        mine = np.concatenate([np.arange(first_a[k], first_a[k + 1]) for k in leaves])
+        theirs = np.flatnonzero(open_[leaves].any(0)[b.leaf_of])
+        for k in range(0, len(mine), ROWS):
+            i = mine[k : k + ROWS]
+            for m in range(0, len(theirs), 8 * ROWS):
+                j = theirs[m : m + 8 * ROWS]
+                hit = (a.x[i] @ b.x[j].T) / (a.length[i][:, None] * b.length[j]) >= cosine
+                hit &= open_[a.leaf_of[i]][:, b.leaf_of[j]]
+                edges.append(_joined(hit, ia[i], ib[j]))
+                hit = hit.astype(float)
+                ca[i] += (hit @ wb[j]).astype(np.int64)
+                cb[j] += (wa[i] @ hit).astype(np.int64)
+    na[a.order] = ca  # (of a block with itself, both orders of a pair were met)
+    nb[b.order] = cb
+    return na, nb, edges
+
+
+def _block_join(dim: int, cosine: float, kind: str):
     """The join of one pair of blocks: rows with counts by vector, then rows with edges."""
 
     def joined(table: pa.Table) -> pa.Table:
         second = table["second"].to_numpy()
         ids, w = table["id"].to_numpy(), table["w"].to_numpy()
-        x = np.frombuffer(b"".join(table["v"].to_pylist()), np.float32).reshape(-1, dim)
+        x = _matrix(table["v"], dim, kind)
+        paths = np.frombuffer(b"".join(table["path"].to_pylist()), np.int32).reshape(len(ids), -1)
         same = table["a"][0].as_py() == table["b"][0].as_py()
         n = np.zeros(len(ids), np.int64)
         edges = []
         p, q = np.flatnonzero(~second), np.flatnonzero(second)
         if same:
-            n[p], _, _, edges = block_links(x[p], ids[p], w[p], None, ids[p], w[p], cosine)
+            n[p], _, edges = block_links(x[p], ids[p], w[p], None, ids[p], w[p], cosine, paths[p])
         elif len(p) and len(q):
-            n[p], n[q], _, edges = block_links(x[p], ids[p], w[p], x[q], ids[q], w[q], cosine)
+            n[p], n[q], edges = block_links(x[p], ids[p], w[p], x[q], ids[q], w[q], cosine, paths[p], paths[q])
         e = np.concatenate([*edges, np.zeros((0, 2), np.int64)])
         e = np.unique(e[e[:, 0] != e[:, 1]], axis=0)
         some = n > 0
@@ -228,28 +266,29 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     small_batches(spark)
     scratch = Scratch(spark, "cover")
     reach = math.sqrt(2 - 2 * cosine)
+    kind = "f4" if "array<float>" in vectors.select(vector_col).schema[0].dataType.simpleString() else "f8"  # as they come
 
     def packed(batches):
         for b in batches:
             out = []
             for v in b.column(1).to_pylist():
-                x = np.array(v if v and None not in v else [0], np.float32) + np.float32(0)
+                x = np.array(v if v and None not in v else [0], kind) + np.zeros(1, kind)
                 with np.errstate(over="ignore"):
                     length = (x.astype(np.float64) ** 2).sum()
                 out.append(x.tobytes() if np.isfinite(length) and length > 0 else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["vec_id", "v"])
 
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("e"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{'float' if kind == 'f4' else 'double'}>").alias("e"))
     rows = scratch.write(rows.mapInArrow(packed, "vec_id long, v binary"))
     nodes = scratch.write(rows.where("v is not null and vec_id is not null").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("w")))
     facts = nodes.groupBy(F.length("v").alias("bytes")).count().orderBy("bytes").collect()  # a row for each length of vector
     parts, links = [], []
     for size, count in facts:
-        mine, dim = nodes.where(F.length("v") == size), size // 4
+        mine, dim = nodes.where(F.length("v") == size), size // int(kind[1])
         k = max(1, min(MAX_NODES, math.ceil(count / BLOCK)))
         share = min(1.0, 4 * SAMPLE * k / count)
         sample = mine.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) <= int(share * (1 << 30))).limit(4 * SAMPLE * k).select("v").toPandas()["v"]
-        u = _unit(np.frombuffer(b"".join(sample), np.float32).reshape(-1, dim)) if len(sample) else _unit(np.ones((1, dim), np.float32))
+        u = _unit(np.frombuffer(b"".join(sample), kind).reshape(-1, dim)) if len(sample) else _unit(np.ones((1, dim)))
         picked, far = [0], _apart(u, u[:1])[:, 0]
         while len(picked) < k and far.max() > reach:  # each next centre is the vector furthest from the others
             picked.append(int(far.argmax()))
@@ -259,7 +298,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         def under(batches, centres=centres, dim=dim):
             for b in batches:
                 if b.num_rows:
-                    d = _apart(_unit(_matrix(b.column(0), dim)), centres)
+                    d = _apart(_unit(_matrix(b.column(0), dim, kind)), centres)
                     cell = d.argmin(1)
                     yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell])], ["cell", "far"])
 
@@ -271,25 +310,40 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         open_pair = (between <= radius[:, None] + radius + reach + _SLACK) & (blocks > 0) & (blocks[:, None] > 0)
         first = np.concatenate([[0], np.cumsum(blocks)])
 
-        def dealt(batches, centres=centres, dim=dim, radius=radius, blocks=blocks, between=between, open_pair=open_pair, first=first):
+        def homed(batches, centres=centres, dim=dim, blocks=blocks, first=first):
+            """Each vector with its block: by hash within its cell."""
+            for b in batches:
+                if b.num_rows:
+                    cell, ids = _apart(_unit(_matrix(b.column(0), dim, kind)), centres).argmin(1), b.column(1).to_numpy()
+                    home = first[cell] + (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[cell]
+                    yield pa.RecordBatch.from_arrays([pa.array(home), *b.columns], ["home", "v", "id", "w"])
+
+        def grown(table: pa.Table) -> pa.Table:
+            """A block's tree, once."""
+            paths = planted(_matrix(table["v"], len(table["v"][0].as_py()) // int(kind[1]), kind), reach)
+            return table.append_column("path", pa.array([p.tobytes() for p in paths], pa.binary()))
+
+        def dealt(batches, centres=centres, dim=dim, radius=radius, between=between, open_pair=open_pair, first=first):
             """Each vector to every pair of blocks that its own block is in and that it can have a link in."""
             for b in batches:
                 if not b.num_rows:
                     continue
-                d = _apart(_unit(_matrix(b.column(0), dim)), centres)
-                cell, ids = d.argmin(1), b.column(1).to_numpy()
+                d = _apart(_unit(_matrix(b.column(1), dim, kind)), centres)
+                home = b.column(0).to_numpy()
+                cell = np.searchsorted(first, home, "right") - 1
                 own = d[np.arange(len(d)), cell]
                 gap = np.maximum(between[cell], 1e-12)
                 meets = open_pair[cell] & (d <= radius + reach + _SLACK) & ((d**2 - own[:, None] ** 2) / (2 * gap) <= reach + _SLACK)
                 meets[np.arange(len(d)), cell] = True
-                home = first[cell] + (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[cell]
                 for other in range(len(centres)):
                     r = np.flatnonzero(meets[:, other])
                     for t in range(first[other], first[other + 1]) if len(r) else ():
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(home[r], t)), pa.array(np.maximum(home[r], t)), pa.array(home[r] > t), *(b.column(i).take(pa.array(r)) for i in (1, 2, 0))], ["a", "b", "second", "id", "w", "v"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(home[r], t)), pa.array(np.maximum(home[r], t)), pa.array(home[r] > t), *(b.column(i).take(pa.array(r)) for i in (2, 3, 1, 4))], ["a", "b", "second", "id", "w", "v", "path"])
 
-        pairs = mine.select("v", "id", "w").mapInArrow(dealt, "a long, b long, second boolean, id long, w long, v binary")
-        found = scratch.write(pairs.groupBy("a", "b").applyInArrow(_block_join(dim, cosine), "vec binary, n long, src long, dst long"))
+        homes = mine.select("v", "id", "w").mapInArrow(homed, "home long, v binary, id long, w long")
+        trees = scratch.write(homes.groupBy("home").applyInArrow(grown, "home long, v binary, id long, w long, path binary"))
+        pairs = trees.mapInArrow(dealt, "a long, b long, second boolean, id long, w long, v binary, path binary")
+        found = scratch.write(pairs.groupBy("a", "b").applyInArrow(_block_join(dim, cosine, kind), "vec binary, n long, src long, dst long"))
         parts.append(found.where("vec is not null").groupBy("vec").agg(F.sum("n").alias("n")))
         links.append(found.where("vec is null").select("src", "dst"))
     if not parts:
