@@ -16,9 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
+from .words import mix
 
 #: Bits for each key of a level, hash functions, and the largest filter that may be held by every task.
 BITS, HASHES, MAX_BYTES = 8, 5, 128 << 20
+#: Bits of a level at least, so that small levels shrink too; levels that a cascade may have (a few are usual).
+LEAST_BITS, MAX_LEVELS = 256, 64
 
 
 def host(url: Column) -> Column:
@@ -45,9 +48,11 @@ class Cascade:
 
     @staticmethod
     def positions(h1: np.ndarray, h2: np.ndarray, level: int, bits: int) -> np.ndarray:
+        """Each level mixes both hashes anew, so keys that meet in one are as likely as any to part in the next."""
         with np.errstate(over="ignore"):
-            step = np.arange(HASHES, dtype=np.uint64)[:, None] + np.uint64(level * 131 + 1)
-            return (h1.view(np.uint64) + step * (h2.view(np.uint64) | np.uint64(1))) % np.uint64(bits)
+            salt = np.uint64(level + 1) * np.uint64(0x9E3779B97F4A7C15)
+            a, b = mix(h1.view(np.uint64) + salt), mix(h2.view(np.uint64) ^ mix(np.atleast_1d(salt)))
+            return (a + np.arange(HASHES, dtype=np.uint64)[:, None] * (b | np.uint64(1))) % np.uint64(bits)
 
     def passes(self, h1: np.ndarray, h2: np.ndarray, level: int) -> np.ndarray:
         words = self.levels[level]
@@ -70,7 +75,7 @@ def _hashes(key: Column) -> list[Column]:
 
 
 def build(universe: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade | None:
-    """The cascade of listed (key) over universe (key), both distinct strings; None if a level would exceed max_bytes."""
+    """The cascade of listed (key) over universe (key), both distinct strings; None if a level would exceed max_bytes, or after MAX_LEVELS (two keys of equal hashes): then keys are joined."""
     spark = universe.sparkSession
     scratch = Scratch(spark, "cascade")
     wanted = listed.select(F.col("key").cast("string").alias("key")).dropna().distinct()
@@ -83,10 +88,9 @@ def build(universe: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES) ->
         n = current.count()
         if not n:
             break
-        words = max(1, math.ceil(n * BITS / 64))
-        if words * 8 > max_bytes:
+        words, level = math.ceil(max(LEAST_BITS, n * BITS) / 64), len(cascade.levels)
+        if words * 8 > max_bytes or level == MAX_LEVELS:
             return None
-        level = len(cascade.levels)
 
         def bits(batches, level=level, words=words):
             for b in batches:
