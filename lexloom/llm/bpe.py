@@ -2,13 +2,14 @@
 
 A text is pre-tokenised in chunks. The pattern looks only forward, so from any true boundary on the pre-tokens don't depend on
 what stands before: where a boundary of one chunk is also one of the next, the two have resynchronised and are stitched.
-Long texts are dealt out as overlapping chunks to different tasks; the rare gap that no boundary closes is pre-tokenised on
-from the last true boundary until it meets one. Pre-tokens are encoded one by one by the ranks.
+The chunks of very long texts are dealt to different tasks; the rare gap that no boundary closes is pre-tokenised on from the
+last true boundary until it meets one. Pre-tokens are encoded one by one by the ranks.
 """
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from .scratch import small_batches
 from .words import slices, trimmed
 
 #: Characters of a chunk, and by how many the next one is overlapped; texts over LONG are dealt to several tasks.
-CHUNK, OVERLAP, LONG = 1 << 15, 256, 1 << 16
+CHUNK, OVERLAP, LONG = 1 << 13, 256, 1 << 16
 #: Last pre-tokens of a cut chunk that the rest of the text may change: "'l" is two pre-tokens at an end, but one of "'ll".
 UNSURE = 2
 #: Pre-tokens whose ids a worker remembers.
@@ -60,20 +61,10 @@ class Encoder:
             self.bytes[self.start[i] : self.start[i + 1]] = np.frombuffer(b, np.uint8)
 
     def encode(self, text: str) -> bytes:
-        """The ids of a whole text as int32 bytes; chunks bound what is held at a time."""
+        """The ids of a whole text as int32 bytes, by chunks that overlap and are stitched."""
         if len(text) <= CHUNK:
             return b"".join(map(self.known.__getitem__, self.pattern.findall(text)))
-        out, at = [], 0
-        while at < len(text):
-            end = min(len(text), at + CHUNK)
-            pieces = self.pattern.findall(text[at:end])
-            if end < len(text) and len(pieces) > UNSURE:
-                del pieces[-UNSURE:]  # they may be cut otherwise with the next chunk, which starts at this true boundary
-            elif end < len(text):
-                pieces = [self.pattern.match(text, at)[0]]
-            out.append(b"".join(map(self.known.__getitem__, pieces)))
-            at += sum(map(len, pieces))
-        return b"".join(out)
+        return self.stitch((self.chunk(text[k : k + CHUNK + OVERLAP], k, k + CHUNK + OVERLAP >= len(text)) for k in range(0, len(text), CHUNK)), text)
 
     def chunk(self, text: str, at: int, last: bool) -> tuple[np.ndarray, np.ndarray, bytes]:
         """A chunk that starts at ``at`` in its text: starts of its pre-tokens (and the end of the last), the number of ids of
@@ -85,8 +76,8 @@ class Encoder:
         starts = at + np.concatenate([[0], np.cumsum([len(p) for p in found])]).astype(np.int64)
         return starts, np.array([len(x) // 4 for x in ids], np.int64), b"".join(ids)
 
-    def stitch(self, chunks: list[tuple[np.ndarray, np.ndarray, bytes]], text: str) -> bytes:
-        """The ids of a text from those of its chunks, in order."""
+    def stitch(self, chunks: Iterable[tuple[np.ndarray, np.ndarray, bytes]], text: str) -> bytes:
+        """The ids of a text from those of its chunks, in order; one chunk is held at a time."""
         out, at = [], 0
         for starts, counts, ids in chunks:
             while at < starts[-1]:
