@@ -47,7 +47,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.detect(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).drop("spans")
+    return toxicity.detect(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
