@@ -23,6 +23,8 @@ PATH, WORDS, HIDDEN = 96, 24, 16
 MEASURES = 7
 #: Pages of the corpus that training looks at, of smallest hash, and made-up pages.
 SAMPLE_PAGES, MADE_PAGES = 400, 1200
+#: Longer pages (characters) are read like any other, but none is learned from, so that the sample's size is bounded.
+LONG_PAGE = 100_000
 
 # Tags of HTML by their part in the layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -356,7 +358,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     0.5; none is cut or capped. Repeated ids keep each of their rows.
     """
     seen = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    sample = seen.where("html is not null and length(html) < 200000").select("html", F.xxhash64("html").alias("k")).orderBy("k", "html").limit(sample_pages).collect()
+    # by hash: about four times as many pages as are wanted leave their tasks, however many tasks there are
+    share = min(1.0, 4 * sample_pages / max(1, seen.count()))
+    near = seen.where(f"html is not null and length(html) < {LONG_PAGE}").select("html", F.xxhash64("html").alias("k")).where(F.pmod("k", F.lit(1 << 30)) <= int(share * (1 << 30)))
+    sample = near.orderBy("k", "html").limit(sample_pages).collect()
     small_batches(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(train([r.html for r in sample]))
 
