@@ -270,3 +270,159 @@ def test_quality(spark):
     labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(300)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, SCHEMA), labels, F.col("source"), F.col("lang")).collect()}
     assert all(got[i].high == (i % 3 > 0) for i in range(300)) and len(got) == 301 and all(0 <= r.score <= 1 for r in got.values())
+
+
+def brute_groups(texts, width=5, num=80, den=100):
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def test_jaccard_star_of_unlike_near_copies(spark):
+    """Near copies of one text, some too far from it to be linked, some of those linked with each other; texts that share only
+    a passage; copies of copies: as brute force finds them, from few candidates."""
+    rng = np.random.default_rng(5)
+    word = lambda: f"w{rng.integers(0, 4000)}"
+    base = [word() for _ in range(150)]
+
+    def edited(words, n):
+        words = list(words)
+        for at in rng.choice(len(words), n, replace=False):
+            words[at] = word()
+        return words
+
+    texts = [base] + [edited(base, int(k)) for k in rng.integers(1, 8, 500)]
+    for _ in range(20):  # far from the text, near each other
+        far = edited(base, 9)
+        texts += [far, edited(far, 1), edited(far, 2)]
+    texts += [[word() for _ in range(60)] + base[:90] + [word() for _ in range(20)] for _ in range(60)]
+    texts += [base[k:] for k in range(1, 60, 3)] + [base[:-k] for k in range(1, 60, 3)]
+    order = rng.permutation(len(texts))
+    texts = [" ".join(texts[i]) for i in order] + [" ".join(base)] * 30
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_groups(docs(spark, texts)).collect()}
+    want = brute_groups(texts)
+    assert [i for i in range(len(texts)) if got[i] != want[i]] == [] and len(set(want)) > 100
+
+
+def test_jaccard_null_ids_and_clashing_names(spark):
+    df = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (5, "a b c d e f"), (7, None)], "doc_id long, text string")
+    for name in ("cls", "sig", "component_id", "tokens", "n_shingles"):
+        df = df.withColumn(name, F.lit("x"))
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard_join.jaccard_groups(df).collect()) == [("3", 2, "3"), ("5", 2, "3"), ("7", 0, "7"), ("None", 2, "None")]
+
+
+def test_fingerprints_of_equal_hash_are_told_apart(spark, monkeypatch):
+    real = jaccard_join.fingerprints
+
+    def poor(row, s, n, salt=0):
+        size, a, b = real(row, s, n, salt)
+        return size, a if salt else a % np.uint64(3) + np.uint64(1), b
+
+    monkeypatch.setattr(jaccard_join, "fingerprints", poor)
+    df = docs(spark, [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(12)])
+    sizes = jaccard_join._sizes(df.select("doc_id", "text"), 5)
+    if sizes.select("cls").distinct().count() == 3:  # (where workers see the patch)
+        assert sorted(r.component_id for r in jaccard_join.jaccard_groups(df).collect()) == list(range(12))
+
+
+def test_cover_tree_block_where_nothing_prunes():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(700, 32)).astype(np.float32), rng.normal(size=(900, 32)).astype(np.float32)
+    hub = rng.normal(size=32)
+    x[:200], y[:300] = hub + rng.normal(size=(200, 32)) * 0.22, hub + rng.normal(size=(300, 32)) * 0.22
+    y[300:340] = x[200:240]
+    wx, wy = rng.integers(1, 4, 700), rng.integers(1, 4, 900)
+    u, v = (a.astype(float) / np.sqrt((a.astype(float) ** 2).sum(1, keepdims=True)) for a in (x, y))
+    for b, ib, wb, hit in ((y, np.arange(900) + 1000, wy, u @ v.T >= 0.95), (None, np.arange(700), wx, u @ u.T >= 0.95)):
+        na, nb, edges = cover_tree.block_links(x, np.arange(700), wx, b, ib, wb, 0.95)
+        assert (na == hit @ wb).all() and (b is None or (nb == wx @ hit).all())
+        find = {}
+
+        def top(i, find=find):
+            while find.get(i, i) != i:
+                i = find[i]
+            return i
+
+        def roots(pairs, find=find):
+            find.clear()
+            for p, q in pairs:
+                find[top(max(top(p), top(q)))] = min(top(p), top(q))
+            return {int(i): int(top(i)) for pair in pairs for i in pair}
+
+        p, q = np.nonzero(hit)
+        want = roots(np.column_stack([p, ib[q]]).tolist())
+        got = roots(np.concatenate(edges).tolist())
+        assert {k: v for k, v in got.items() if k in want} == want
+
+
+def test_cascade_ends_and_is_exact_for_any_split(spark):
+    """The hashes of a level are those of no other, so small levels of unlucky keys end too."""
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(2, 400))
+        h1, h2 = (rng.integers(-(2**63), 2**63, n) for _ in range(2))
+        on = rng.random(n) < rng.random()
+        sides, side, cascade = {True: np.flatnonzero(on), False: np.flatnonzero(~on)}, True, url_filter.Cascade([])
+        while len(sides[side]):
+            level, words = len(cascade.levels), -(-max(url_filter.LEAST_BITS, len(sides[side]) * url_filter.BITS) // 64)
+            filled = np.zeros(words, np.uint64)
+            at = url_filter.Cascade.positions(h1[sides[side]], h2[sides[side]], level, words * 64).ravel()
+            np.bitwise_or.at(filled, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+            cascade.levels.append(filled)
+            other = sides[not side]
+            sides[not side] = other[cascade.passes(h1[other], h2[other], level)]
+            side = not side
+            assert len(cascade.levels) < 20
+        assert (cascade.listed(h1, h2) == on).all()
+
+
+def test_url_filter_with_thousands_of_listed_hosts(spark):
+    pages = spark.range(9000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.h"), F.col("id"), F.lit(".net/x")).alias("url"))
+    pages = pages.union(pages.limit(3)).withColumn("key", F.lit(1)).withColumn("h1", F.lit(2))
+    listed = spark.range(0, 20000, 3).select(F.concat(F.lit("h"), F.col("id"), F.lit(".net")).alias("key"))
+    got = url_filter.judge(pages, listed, []).groupBy("page_id", "verdict").count().collect()
+    assert sum(r["count"] for r in got) == 9003 and all((r.verdict == "block") == (r.page_id % 3 == 0) for r in got)
+    assert url_filter.judge(pages.limit(0), listed, []).count() == 0
+
+
+def test_toxicity_long_clean_texts_and_sparse_words(spark):
+    """Toxic words that stand alone in their sentences; a clean text of thousands of sentences stays clean."""
+    rows = [(i, EN + ("Some slurword here. " + EN + "A slurword there. " if i % 5 == 0 else EN), "en", "s", 0) for i in range(500)] + [(900, EN * 3000, "en", "s", 0), (None, "slurword", "en", "s", 0)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(500) if i % 7] + [(None, 1)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("k", F.lit("x")).withColumn("y", F.lit("x"))
+    got = {r.doc_id: r for r in toxicity.detect(df, labels).collect()}
+    assert [i for i in range(500) if got[i].predicted != int(i % 5 == 0)] == [] and got[900].score < 0.1
+    assert toxicity.detect(docs(spark, []), labels).count() == 0
+
+
+def test_toxicity_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(0)
+    doc = np.sort(rng.integers(0, 6, 30))
+    sentence = np.cumsum(np.r_[False, (doc[1:] != doc[:-1]) | (rng.random(29) < 0.5)])
+    ids = np.where(rng.random((toxicity.KINDS, 30)) < 0.7, rng.integers(0, 5, (toxicity.KINDS, 30)), -1)
+    hits = toxicity.Hits(doc, sentence, ids, np.full(6, 40))
+    labels = np.array([1, 0, 1, 0, 1, 0])
+
+    def loss(m):
+        z = np.bincount(hits.of, weights=np.where(hits.ids >= 0, m.weights[hits.ids], 0).sum(0), minlength=len(hits.doc)) + m.facts @ hits.facts + m.bias
+        p = 1 - np.exp(np.bincount(hits.doc, weights=np.log(1 - toxicity._logistic(z)), minlength=6))
+        some = np.bincount(hits.doc, minlength=6) > 0
+        return -np.log(np.where(labels == 1, p, 1 - p))[some].sum()
+
+    trained = [loss(toxicity.fit(hits, labels, epochs=e, decay=0.0)) for e in (1, 30, 300)]
+    assert trained[0] > trained[1] > trained[2]
