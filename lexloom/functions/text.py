@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +36,11 @@ def breaks_to_newlines(c: Column) -> Column:
     return F.regexp_replace(c, r"<br ?/?>", "\n")
 
 
+# Numbers that are blanked, between what may not be part of them.
+SSN = r"(?i)([^0-9])((?:ssn?:?)? *#?[0-9]{3}-[0-9]{2}-[0-9]{4})([^0-9])"
+A_NUMBER = r"(?i)([^0-9a-z])(a[0-9]{8,9})([^0-9])"
+
+
 def scrub_sensitive(c: Column) -> Column:
     """Social-security numbers and A-numbers become blanks of the same length, where other text stands on both sides."""
     def blanked(x: Column, pattern: str) -> Column:
@@ -42,7 +48,7 @@ def scrub_sensitive(c: Column) -> Column:
         parts = F.split(F.regexp_replace(x, pattern, "$1\u0001$2\u0001$3"), "\u0001")
         return F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.repeat(F.lit(" "), F.length(p))).otherwise(p)), "")
 
-    return blanked(blanked(c, r"([^0-9])((?:ssn:? ?)?#?[0-9]{3}-[0-9]{2}-[0-9]{4})([^0-9])"), r"([^0-9A-Za-z])([aA][0-9]{8,9})([^0-9A-Za-z])")
+    return blanked(blanked(c, SSN), A_NUMBER)
 
 
 def span(c: Column, pattern: str, limit: int | None = None) -> Column:
@@ -72,6 +78,97 @@ def stamp(c: Column) -> Column:
     return F.map_from_entries(pairs)
 
 
+# The receipt at a page's end, as text and in its markup.
+RECEIPT = r"(?is)Transaction Receipt (.+?)\s+Pacer Login:\s*([a-zA-Z0-9]+).+?Description:\s+(.+?)\s+[a-zA-Z\s]+:\s+(.+?)\s+Billable Pages:\s+([0-9]+)\s+Cost:\s+([0-9]+[.][0-9]+)"
+RECEIPT_MARKUP = r"(?s)Billable Pages.+?>\s?([0-9]+)\s<.+?Cost.+?>\s?([0-9]+[.][0-9]+)\s?<"
+
+
+def transaction(html: Column) -> Column:
+    """struct of a page's receipt: timestamp, user, description, search_criteria, billable_pages int, cost double; null where
+    there is none."""
+    x = scrub_tags(html)
+    parts = [F.regexp_extract(x, RECEIPT, i).alias(n) for i, n in enumerate(("timestamp", "user", "description", "search_criteria"), 1)]
+    return F.when(x.rlike(RECEIPT), F.struct(*parts, F.regexp_extract(x, RECEIPT, 5).try_cast("int").alias("billable_pages"), F.regexp_extract(x, RECEIPT, 6).try_cast("double").alias("cost")))
+
+
+def billed(html: Column) -> Column:
+    """struct<billable_pages, cost> from the markup of a receipt."""
+    return F.when(html.rlike(RECEIPT_MARKUP), F.struct(F.regexp_extract(html, RECEIPT_MARKUP, 1).try_cast("int").alias("billable_pages"), F.regexp_extract(html, RECEIPT_MARKUP, 2).try_cast("double").alias("cost")))
+
+
+def download_stamp(html: Column) -> Column:
+    """What the download left at a page's end, as a map: a JSON comment in the last line, else pairs after SCALESDOWNLOAD."""
+    last = F.regexp_extract(html, r"(?s)(?:^|\n)<!--\s*(\{[^\n]*\})\s*-->\s*$", 1)
+    pairs = F.split(F.regexp_extract(F.substring(html, 401, 1 << 30), r"(?s)<!-- SCALESDOWNLOAD;(.+) -->", 1), ";")
+    plain = F.map_from_entries(F.transform(F.filter(pairs, lambda p: p.contains(":")), lambda p: F.struct(F.split(p, ":", 2)[0], F.split(p, ":", 2)[1])))
+    return F.coalesce(F.when(last != "", F.from_json(last, "map<string,string>")), plain)
+
+
+def entry_lines(info: Column) -> Column:
+    """The lines of a lawyer's block before the first italics, without markup, empty ones and what says PRO SE."""
+    lines = F.transform(F.split(F.split_part(info, F.lit("<i>"), F.lit(1)), "<br"), lawyer_line)
+    return F.filter(lines, lambda x: (x != "") & ~x.contains("PRO SE"))
+
+
+def terminated(info: Column) -> Column:
+    """struct<day, rest>: the first date that follows ``TERMINATED: `` and the text without all of those."""
+    mark = r"TERMINATED: ([^\n]*)(?:\n|$)"
+    return F.struct(F.when(info.contains("TERMINATED: "), F.regexp_extract(info, mark, 1)).alias("day"), F.regexp_replace(info, mark, "").alias("rest"))
+
+
+def tidy_info(raw: Column) -> Column:
+    """The notes under a name (what is in italics, without dates of termination): null where there are none, as the block then
+    holds an address alone."""
+    x = detag(breaks_to_newlines(raw))
+    kept = F.filter(F.transform(F.split(clean_line(terminated(x)["rest"]), "\n"), clean_line), lambda y: y.isNotNull())
+    out = blank_to_null(F.btrim(F.array_join(kept, "\n"), F.lit("\n/<> ")))
+    return F.when((out != "and") & F.replace(raw, F.lit("<i>TERMINATED")).contains("<i>"), out)
+
+
+def is_address(line: Column) -> Column:
+    """Whether a line looks like one of an address: a house number, a box, or a state with a postal code."""
+    return F.coalesce(line.rlike(r"^[0-9]+[A-Za-z]? +\S|(?i:^P[.]?O[.]? Box )|, [A-Z]{2}[.]? +[0-9]{5}"), F.lit(False))
+
+
+def year_gap(day: Column, year: Column) -> Column:
+    """A text's year less the wanted one: 0 if none is wanted, -9999 if the text has none."""
+    found = F.regexp_extract(day, r"([0-9]{4})", 1).try_cast("int")
+    return F.when(year.isNull(), 0).otherwise(F.coalesce(found - year, F.lit(-9999)))
+
+
+def first_index(starts: Column, phrase_at: Column, mode: str = "first") -> Column:
+    """Index of the entity that an entry's phrase is about: the earliest one, or with ``nearest_after`` the first after the
+    phrase (the earliest, if none follows)."""
+    first = F.array_position(starts, F.array_min(starts)) - 1
+    if mode == "first":
+        return first
+    after = F.array_min(F.filter(starts, lambda s: s >= phrase_at))
+    return F.coalesce(F.array_position(starts, after) - 1, first)
+
+
+def packed(c: Column) -> Column:
+    """Text as zlib in base 64."""
+    @F.pandas_udf("string")
+    def run(x: pd.Series) -> pd.Series:
+        import base64
+        import zlib
+
+        return x.map(lambda v: None if v is None else base64.b64encode(zlib.compress(v.encode())).decode())
+
+    return run(c)
+
+
+def unpacked(c: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(x: pd.Series) -> pd.Series:
+        import base64
+        import zlib
+
+        return x.map(lambda v: None if v is None else zlib.decompress(base64.b64decode(v)).decode())
+
+    return run(c)
+
+
 def forward_date(c: Column) -> Column:
     """mm/dd/yy as 20yy-mm-dd."""
     p = F.split(c, "/")

@@ -54,8 +54,28 @@ def latest_date(entries: DataFrame, case: str, day: Column) -> DataFrame:
 
 def insert_extra(base: DataFrame, extra: DataFrame, case: str, day: str, index: str, threshold: float = 0.8, default: str = "before") -> DataFrame:
     """(case, place): whether a case's extra entries go before or after its base entries. By dates, where at least threshold
-    of the extra ones lie on one side and more than on the other; else by the entry numbers (after on ties); else default."""
-    b = base.groupBy(case).agg(F.min(day).alias("b_min"), F.max(day).alias("b_max"), F.min(F.nullif(F.col(index), F.lit(0))).alias("b_first"))
-    e = extra.join(b, case, "left").groupBy(case).agg(F.avg((F.col(day) <= F.col("b_min")).cast("double")).alias("early"), F.avg((F.col(day) >= F.col("b_max")).cast("double")).alias("late"), F.min(F.nullif(F.col(index), F.lit(0))).alias("e_first"), F.first("b_first").alias("b_first"))
-    place = F.when((F.col("early") >= threshold) & (F.col("early") > F.col("late")), "before").when((F.col("late") >= threshold) & (F.col("late") > F.col("early")), "after").when(F.col("e_first") < F.col("b_first"), "before").when(F.col("e_first") >= F.col("b_first"), "after").otherwise(default)
-    return e.select(case, place.alias("place"))
+    of the extra ones lie on one side and more than on the other; else by the entry numbers (not null or 0): before, if more of
+    the extra ones are at most the least of the base than at least its greatest; else default. Without base entries: default."""
+    number = F.nullif(F.col(index), F.lit(0))
+    b = base.groupBy(case).agg(F.min(day).alias("b_min"), F.max(day).alias("b_max"), F.min(number).alias("b_low"), F.max(number).alias("b_high"))
+    share = lambda c: F.avg(c.cast("double"))  # noqa: E731  of the rows where the comparison has both sides
+    sides = [share(F.col(day) <= F.col("b_min")).alias("early"), share(F.col(day) >= F.col("b_max")).alias("late"), share(number <= F.col("b_low")).alias("low"), share(number >= F.col("b_high")).alias("high")]
+    e = extra.join(b, case, "left").groupBy(case).agg(*sides)
+    by_day = F.when((F.col("early") >= threshold) & (F.col("early") > F.col("late")), "before").when((F.col("late") >= threshold) & (F.col("late") > F.col("early")), "after")
+    return e.select(case, F.coalesce(by_day, F.when(F.col("low") > F.col("high"), "before").when(F.col("low") <= F.col("high"), "after"), F.lit(default)).alias("place"))
+
+
+def has_edges(entries: Column) -> Column:
+    """Whether any of a case's entries refers to another."""
+    return F.exists(entries, lambda e: F.size(e["edges"]) > 0)
+
+
+def edges_to(edges: Column, target: Column) -> Column:
+    return F.filter(edges, lambda e: e["dst"] == target)
+
+
+def usable_docket(texts: Column) -> Column:
+    """Whether a docket (array of texts) can be read for judges: not empty, opened by a committee's order, a clerical error or
+    not to be used."""
+    bad = lambda t: t.isNull() | F.lower(t).rlike("clerical error|in error|shall not be used")
+    return (F.size(texts) > 0) & ~F.coalesce(F.lower(F.get(texts, F.lit(0))).contains("executive committee"), F.lit(False)) & ~F.exists(texts, bad)

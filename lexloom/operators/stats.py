@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +61,11 @@ def welch(outcomes: DataFrame, court: str = "court", judge: str = "judge", value
 
 
 def court_variation(outcomes: DataFrame, level: float = 0.975, **names: str) -> DataFrame:
-    """welch with bounds and whether they have the same sign. The quantile is a Python function of one number a judge."""
-    quantile = F.udf(lambda df: t_quantile(level, df), "double")
+    """welch with bounds and whether they have the same sign. The quantile is computed once for each value of a batch."""
+    @F.pandas_udf("double")
+    def quantile(df: pd.Series) -> pd.Series:  # each value of a batch is computed once
+        return df.map({v: t_quantile(level, v) for v in df.dropna().unique()})
+
     x = welch(outcomes, **names).withColumn("_t", quantile("df"))
     x = x.withColumn("lower", F.col("diff") - F.col("_t") * F.col("se")).withColumn("upper", F.col("diff") + F.col("_t") * F.col("se")).drop("_t")
     return x.withColumn("significant", F.signum("lower") == F.signum("upper"))

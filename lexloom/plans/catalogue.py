@@ -112,12 +112,13 @@ def latest_entry_date(spark, sf):
     return search.latest_date(read(spark, sf, "lineitem"), "l_orderkey", F.col("l_shipdate"))
 
 
-@query("""WITH b AS (SELECT l_orderkey, min(l_shipdate) b_min, max(l_shipdate) b_max, min(nullif(l_linenumber, 0)) b_first FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1),
-e AS (SELECT l.l_orderkey, avg(CASE WHEN l_shipdate <= b_min THEN 1.0::DOUBLE WHEN b_min IS NULL THEN NULL ELSE 0 END) early, avg(CASE WHEN l_shipdate >= b_max THEN 1.0::DOUBLE WHEN b_max IS NULL THEN NULL ELSE 0 END) late, min(l_linenumber) e_first, min(b_first) b_first FROM lineitem l LEFT JOIN b ON b.l_orderkey = l.l_orderkey WHERE l_linenumber > 3 GROUP BY 1)
-SELECT l_orderkey, CASE WHEN early >= 0.8 AND early > late THEN 'before' WHEN late >= 0.8 AND late > early THEN 'after' WHEN e_first < b_first THEN 'before' WHEN e_first >= b_first THEN 'after' ELSE 'before' END place FROM e""")
+@query("""WITH b AS (SELECT l_orderkey, min(l_shipdate) b_min, max(l_shipdate) b_max, min(l_linenumber % 5) FILTER (l_linenumber % 5 <> 0) b_low, max(l_linenumber % 5) FILTER (l_linenumber % 5 <> 0) b_high FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY 1),
+x AS (SELECT l_orderkey, l_shipdate d, nullif(l_linenumber % 5, 0) n FROM lineitem WHERE l_linenumber % 2 = 1),
+e AS (SELECT x.l_orderkey, count(*) FILTER (d <= b_min) / nullif(count(b_min), 0) early, count(*) FILTER (d >= b_max) / nullif(count(b_max), 0) late, count(*) FILTER (n <= b_low) / nullif(count(n + b_low), 0) low, count(*) FILTER (n >= b_high) / nullif(count(n + b_high), 0) high FROM x LEFT JOIN b ON b.l_orderkey = x.l_orderkey GROUP BY 1)
+SELECT l_orderkey, CASE WHEN early > late AND early >= 0.8 THEN 'before' WHEN late > early AND late >= 0.8 THEN 'after' WHEN low > high THEN 'before' WHEN low <= high THEN 'after' ELSE 'before' END place FROM e""")
 def insert_extra_entries(spark, sf):
-    li = read(spark, sf, "lineitem")
-    return search.insert_extra(li.where("l_linenumber <= 3"), li.where("l_linenumber > 3"), "l_orderkey", "l_shipdate", "l_linenumber")
+    li = read(spark, sf, "lineitem").withColumn("ind", F.col("l_linenumber") % 5)
+    return search.insert_extra(li.where("l_linenumber % 2 = 0"), li.where("l_linenumber % 2 = 1"), "l_orderkey", "l_shipdate", "ind")
 
 
 # --- identifiers --------------------------------------------------------------------------------------------------------
@@ -177,9 +178,11 @@ def document_fname_parse(spark, sf):
     return f.select("k", "n", "p.ucid", "p.doc_index", "p.attachment", F.col("p.downloaded").cast("string").alias("downloaded"))
 
 
-@query("SELECT page_id, 'https://ecf.c' || chr(97 + CAST(page_id % 26 AS INT)) || 'd.uscourts.gov/' || CASE page_id % 3 WHEN 0 THEN 'cgi-bin/iquery.pl' WHEN 1 THEN 'doc1/' END url FROM pages")
+@query("SELECT page_id, CASE page_id % 10 WHEN 9 THEN NULL ELSE CASE WHEN page_id % 7 = 0 THEN 'https://dcecf.psc.uscourts.gov/' ELSE 'https://ecf.c' || chr(97 + CAST(page_id % 26 AS INT)) || 'd.uscourts.gov/' END || list_extract(['cgi-bin/iquery.pl', 'doc1', 'cgi-bin/login.pl', 'cgi-bin/login.pl?logout', 'cgi-bin/DktRpt.pl', 'cgi-bin/possible_case_numbers.pl', 'cgi-bin/qrySummary.pl', 'cgi-bin/AsccaseDisplay.pl', 'cgi-bin/HistDocQry.pl'], CAST(page_id % 10 + 1 AS INT)) END url FROM pages")
 def site_urls(spark, sf):
-    return read(spark, sf, "pages").select("page_id", I.site_url(F.concat(F.lit("c"), F.char(F.lit(97) + F.col("page_id") % 26), F.lit("d")), F.when(F.col("page_id") % 3 == 0, "query").when(F.col("page_id") % 3 == 1, "doc_link").otherwise("none")).alias("url"))
+    names = F.array(*(F.lit(n) for n in ("query", "doc_link", "login", "logout", "docket", "possible_case", "summary", "members", "history", "none")))
+    court = F.when(F.col("page_id") % 7 == 0, "psc").otherwise(F.concat(F.lit("c"), F.char(F.lit(97) + F.col("page_id") % 26), F.lit("d")))
+    return read(spark, sf, "pages").select("page_id", I.site_url(court, F.get(names, (F.col("page_id") % 10).cast("int"))).alias("url"))
 
 
 # --- text ---------------------------------------------------------------------------------------------------------------
@@ -203,15 +206,17 @@ def scrub_sensitive(spark, sf):
 
 def _blanked(text: str) -> str:
     """SQL: a blank for each character of a number, one replacement for each form, as DuckDB cannot repeat by a match's length."""
-    forms = [(f"{w}{h}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}", "[^0-9]", n + len(h) + 11) for w, n in (("ssn: ", 5), ("ssn:", 4), ("ssn ", 4), ("ssn", 3), ("", 0)) for h in ("#", "")]
-    for pattern, edge, n in [*forms, *((f"[aA][0-9]{{{k}}}", "[^0-9A-Za-z]", k + 1) for k in (8, 9))]:
-        text = f"regexp_replace({text}, '({edge}){pattern}({edge})', '\\1{' ' * n}\\2', 'g')"
+    forms = [(f"[sS][sS][nN]:{' ' * n}{h}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}", "[^0-9]", 4 + n + len(h) + 11) for n in (0, 1) for h in ("#", "")]
+    forms += [(f"{' ' * n}{h}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}", "[^0-9]", n + len(h) + 11) for n in (1, 0) for h in ("#", "")]
+    for pattern, edge, n in [*forms, *((f"[aA][0-9]{{{k}}}", "[^0-9]", k + 1) for k in (8, 9))]:
+        before = "[^0-9A-Za-z]" if pattern.startswith("[aA]") else edge
+        text = f"regexp_replace({text}, '({before}){pattern}({edge})', '\\1{' ' * n}\\2', 'g')"
     return text
 
 
-@query(f"SELECT doc_id, {_blanked("'q 987-65-4321 ' || text || ' x 123-45-6789 y A12345678 z ssn 1234-56 w ssn: #123-45-6789.'")} scrubbed FROM documents")
+@query(f"SELECT doc_id, {_blanked("'q 987-65-4321 ' || text || ' x 123-45-6789 y A12345678x z ssn 1234-56 w SSN: #123-45-6789.'")} scrubbed FROM documents")
 def scrub_sensitive_whole(spark, sf):
-    t = F.concat(F.lit("q 987-65-4321 "), "text", F.lit(" x 123-45-6789 y A12345678 z ssn 1234-56 w ssn: #123-45-6789."))
+    t = F.concat(F.lit("q 987-65-4321 "), "text", F.lit(" x 123-45-6789 y A12345678x z ssn 1234-56 w SSN: #123-45-6789."))
     return read(spark, sf, "documents").select("doc_id", T.scrub_sensitive(t).alias("scrubbed"))
 
 
@@ -503,7 +508,7 @@ def haversine_pairs(spark, sf):
 UNION ALL SELECT 'case:' || ucid, 'terminated', strftime(filed, '%Y-%m-%d'), 'date' FROM cases WHERE status = 'F'""")
 def triples_case(spark, sf):
     c = raw_cases(spark, sf)
-    return graph.triples(c, F.concat(F.lit("case:"), "ucid"), [("type", F.when(F.col("case_type") == "cr", "CriminalCase").otherwise("CivilCase"), "uri"), ("court", F.col("court"), "uri"), ("category", F.col("case_type"), "string"), ("filed", F.col("filed"), "date"), ("terminated", F.when(F.col("status") == "F", F.col("filed")), "date")])
+    return graph.triples(c, F.concat(F.lit("case:"), "ucid"), [("type", F.when(F.col("case_type") == "cr", "CriminalCase").otherwise("CivilCase"), "uri"), ("court", F.col("court"), "uri"), ("category", F.col("case_type"), "string"), ("filed", F.col("filed"), "date"), ("terminated", F.when(F.col("status") == "F", F.col("filed")), "date")], unique=True)
 
 
 @query("SELECT 'entry:' || conv_id || '_de' || turn s, 'hasReferenceToOtherEntry' p, 'entry:' || conv_id || '_de' || (turn - 1) o, 'uri' kind FROM conversations WHERE turn > 0")
@@ -559,3 +564,6 @@ s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED P
 def stream_sessions(spark, sf):
     e = read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return ingest.sessions(e, gap="6 hours").withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("session_start", "session_end")})
+
+
+from . import records  # noqa: E402,F401  (its queries are part of the catalogue)
