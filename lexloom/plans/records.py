@@ -12,6 +12,8 @@ from ..sources import cases, parties, reports, summary, thirdparty
 from .catalogue import CASES, query, raw_cases, read
 
 k = F.col("k")
+#: Tasks that parse the pages made of one small file.
+TASKS = 16
 
 
 def _text(*parts):
@@ -145,7 +147,7 @@ def _party_page():
 
 def _parsed(spark, sf):
     c = raw_cases(spark, sf).where("case_type <> 'mc'").withColumn("html", _party_page())
-    return c.select("k", "case_type", F.posexplode(parties.parties_of(F.col("html"), F.col("case_type") == "cr")).alias("i", "p"))
+    return c.repartition(TASKS, "k").select("k", "case_type", F.posexplode(parties.parties_of(F.col("html"), F.col("case_type") == "cr")).alias("i", "p"))
 
 
 @query(f"""WITH {CASES}, p AS (SELECT k, case_type, unnest([0, 1, 2]) i, unnest(['Party ' || cust, 'Firm & Co', 'Service List']) "name", unnest(['Plaintiff', 'Respondent', NULL]) "role", unnest(['plaintiff', 'defendant', NULL]) party_type, NULL::INT pacer_id, unnest([NULL, '302 555 7777', NULL]) phone, unnest([NULL, 'x@y.net', NULL]) email, unnest([NULL, '01/02/2020', NULL]) ended, unnest([NULL, 'Acme Hall', NULL]) office, unnest([2, 0, 0]) lawyers, NULL judge FROM cases WHERE case_type = 'cv'
@@ -176,7 +178,7 @@ def _case_pages(spark, sf):
     entries = "<table><tr><td>Date Filed</td><td>#</td><td>Docket Text</td></tr><tr><td>01/02/2020</td><td><a href='/doc1/5'>1</a></td><td>COMPLAINT by X</td></tr><tr><td>01/03/2020</td><td></td><td>ORDER on <a href='/doc1/5'>1</a></td></tr></table>"
     stamp = _text("\n<!-- SCALESDOWNLOAD;pacer_id:", k, ";download_url:http://h/x;slabels:", _by(["stub", "private", ""]), " -->")
     page = _text('<table width="100%"><tr><td align="right">', flags, "</td></tr></table><h3>Northern District of Ohio (Eastern)<br>Live (Dover)<br>CIVIL DOCKET FOR CASE #: ", F.col("case_id"), "-ABC</h3>", title, lead, "Assigned to: Judge Ann Lee<br>Date Filed: ", F.date_format("filed", "MM/dd/yyyy"), "<br>", F.when(F.col("status") == "F", "Date Terminated: 01/02/2021<br>").otherwise(""), "Nature of Suit: 110 Insurance<br><table>", F.when(k % 2 == 0, related).otherwise("</table>"), F.when(k % 5 == 0, _MEMBERS).otherwise(""), _party_page(), entries, stamp)
-    return c.select("k", "court", "case_id", page.alias("html"))
+    return c.select("k", "court", "case_id", page.alias("html")).repartition(TASKS, "k")
 
 
 @query(f"""WITH {CASES} SELECT k, ucid, case_type, 'Dover' city, case_id || '-ABC' header_case_id, strftime(filed, '%m/%d/%Y') filing_date, CASE WHEN status = 'F' THEN 'closed' ELSE 'open' END case_status, CASE WHEN case_type = 'cr' THEN 'USA v. P' || k ELSE 'Party ' || k || ' v. Firm' END case_name, CASE WHEN k % 3 = 0 THEN office || ':' || yy || '-md-02741' END lead_case_id, CASE WHEN k % 2 = 0 THEN '1:01-cv-00001,1:02-cv-00002' ELSE '' END related, {_sql_by(["'CLOSED'", "'MDL_2741,SEALED'", "''"])} flags, CAST(CASE WHEN k % 3 < 2 THEN 2741 END AS INT) mdl_code, {_sql_by(["'lead_case_id'", "'flag'", None])} mdl_id_source, k % 3 < 2 is_mdl, k % 3 < 2 OR k % 5 = 0 is_multi, CASE WHEN k % 5 = 0 THEN CASE WHEN k % 3 = 0 THEN court || ';;' || office || ':' || yy || '-md-02741' ELSE ucid END END member_case_key, CASE WHEN case_type = 'cv' THEN 'Judge Ann Lee' END judge, k % 3 = 0 is_stub, k % 3 = 1 is_private, CAST(k AS VARCHAR) case_pacer_id, CAST(CASE case_type WHEN 'cv' THEN 3 WHEN 'cr' THEN 2 ELSE 0 END AS INT) n_parties, 2 n_entries, 'pacer' "source" FROM cases""")
@@ -214,7 +216,7 @@ def case_summaries(spark, sf):
     criminal = _text("<table><tr><td><B><U>Party  ", F.col("cust"), " (1)</B></U></td></tr><tr><td><b>Office:</b> Dover</td></tr><tr><td>Count: 1</td><td>Citation: 18:1</td></tr><tr><td>FRAUD ", k, "</td></tr><tr><td>Complaint</td><td>Citation: 18:2</td></tr><tr><td>AIDING</td></tr>", _NO_CASE, "<tr><td>Flags: A,B</td></tr></table><table><tr><td>Plaintiff: USA</td></tr></table>")
     receipt = _text("</div>Transaction Receipt 01/02/2020 1:00 \nPacer Login: u1 x Description: Summary \nCase Number: 5 \nBillable Pages: ", k % 30 + 1, " Cost: 0.10")
     page = _text(head, F.when(F.col("case_type") == "cv", civil).otherwise(criminal), receipt)
-    c = raw_cases(spark, sf).where("case_type <> 'mc'").select("k", "case_type", summary.summaries(page).alias("s"), summary.summary_receipt(page)["billable_pages"].alias("pages"))
+    c = raw_cases(spark, sf).where("case_type <> 'mc'").repartition(TASKS, "k").select("k", "case_type", summary.summaries(page).alias("s"), summary.summary_receipt(page)["billable_pages"].alias("pages"))
     f, p, d = F.col("s.fields"), F.get("s.parties", F.lit(0)), F.get("s.defendants", F.lit(0))
     return c.select("k", f["case_id"].alias("case_id"), f["case_name"].alias("case_name"), f["presiding"].alias("presiding"), f["referral"].alias("referral"), f["date_filed"].alias("date_filed"), f["office"].alias("office"), p["role"].alias("party_role"), p["name"].alias("party_name"), p["represented_by"].alias("represented_by"), d["name"].alias("defendant"), d["ind"].alias("ind"), F.get(d["counts"], F.lit(0))["text"].alias("count_text"), F.get(d["counts"], F.lit(0))["citation"].alias("citation"), F.get(d["complaints"], F.lit(0))["text"].alias("complaint"), F.when(F.col("case_type") == "cr", F.array_join(d["flags"], ",")).alias("flags"), "pages")
 
