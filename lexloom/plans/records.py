@@ -11,11 +11,15 @@ from ..operators import bundle, courts, entities, fetch, graph, index, judges, l
 from ..sources import cases, parties, reports, summary, thirdparty
 from .catalogue import CASES, query, raw_cases, read
 
-k = F.col("k")
 #: Tasks that parse the pages made of one small file.
 TASKS = 16
 
 
+def key():
+    """The number of a case."""
+    return F.col("k")
+
+
 def _text(*parts):
     """Texts and columns end to end."""
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
@@ -23,7 +27,7 @@ def _text(*parts):
 
 def _by(forms, of=None, n=None):
     """The form of a row: of several by the row's number."""
-    of, n, out = k if of is None else of, n or len(forms), None
+    of, n, out = key() if of is None else of, n or len(forms), None
     for i, f in enumerate(forms):
         f = F.lit(f) if isinstance(f, str) or f is None else f
         out = F.when(of % n == i, f) if out is None else out.when(of % n == i, f)
@@ -40,8 +44,8 @@ def _sql_by(forms, of="k"):
 @query(f"""WITH {CASES} SELECT k, {_sql_by(["case_id", "case_id", "yy || ':' || case_type || '-' || number", "'noyear:0' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0')", "yy || ':' || lpad(CAST(k % 100000 AS VARCHAR), 5, '0')", "case_id", "office || ':' || yy", "office || ':' || yy || '-' || case_type || '-00' || (100 + k % 900)", "'noyear:' || (10000 + k % 90000)", "'12:345'"])} case_id FROM cases""")
 def case_id_forms(spark, sf):
     c = raw_cases(spark, sf)
-    four, five = (F.lpad((k % m).cast("string"), n, "0") for m, n in ((10000, 4), (100000, 5)))
-    forms = [_text("No. ", F.upper("case_id")), F.replace("case_id", F.lit(":"), F.lit("-")), _text("Bankruptcy ", F.col("case_type"), "-", F.col("yy"), "-", F.col("number")), four, F.concat("yy", five), _text(F.col("case_id"), ", 1:99-cv-00009"), _text("Case Nos. ", F.col("case_id"), "-ABC"), _text(F.col("office"), ":", F.col("yy"), "-", F.upper("case_type"), "-", 100 + k % 900), (10000 + k % 90000).cast("string"), _text("12-345-", F.col("number"))]
+    four, five = (F.lpad((key() % m).cast("string"), n, "0") for m, n in ((10000, 4), (100000, 5)))
+    forms = [_text("No. ", F.upper("case_id")), F.replace("case_id", F.lit(":"), F.lit("-")), _text("Bankruptcy ", F.col("case_type"), "-", F.col("yy"), "-", F.col("number")), four, F.concat("yy", five), _text(F.col("case_id"), ", 1:99-cv-00009"), _text("Case Nos. ", F.col("case_id"), "-ABC"), _text(F.col("office"), ":", F.col("yy"), "-", F.upper("case_type"), "-", 100 + key() % 900), (10000 + key() % 90000).cast("string"), _text("12-345-", F.col("number"))]
     return c.select("k", I.clean_case_id(_by(forms)).alias("case_id"))
 
 
@@ -55,31 +59,32 @@ def path_helpers(spark, sf):
 
 @query(f"""WITH {CASES} SELECT replace(ucid, ':', '-') || '_' || (k % 4) doc_id, CASE WHEN k % 3 > 0 THEN 'docs/' || court || '/' || replace(ucid, ':', '-') || '_' || (k % 4) || '_u12345678_t20010' || (1 + k % 3) || '.pdf' END path FROM cases""")
 def newest_documents(spark, sf):
-    c = raw_cases(spark, sf).withColumn("doc_id", I.document_id(F.col("ucid"), k % 4))
-    versions = c.where(k % 3 > 0).select("court", "doc_id", F.explode(F.sequence(F.lit(1).cast("long"), 1 + k % 3)).alias("v"))
+    c = raw_cases(spark, sf).withColumn("doc_id", I.document_id(F.col("ucid"), key() % 4))
+    versions = c.where(key() % 3 > 0).select("court", "doc_id", F.explode(F.sequence(F.lit(1).cast("long"), 1 + key() % 3)).alias("v"))
     files = versions.select(_text("docs/", F.col("court"), "/", F.col("doc_id"), "_u12345678_t20010", F.col("v"), ".pdf").alias("path"))
     return I.newest_documents(files, c.select("doc_id"))
 
 
 @query(f"WITH {CASES} SELECT k, replace(ucid, ':', '-') || '_' || (k % 90 + 1) || CASE WHEN k % 3 = 0 THEN '_' || (k % 7 + 1) ELSE '' END doc_id FROM cases")
 def header_documents(spark, sf):
-    number = _by([_text("Document ", k % 90 + 1), _text("Doc 999 Document 5 Entry Number ", k % 90 + 1)])
-    page = _text(F.repeat(F.lit("body "), 40), "\n Case ", F.col("case_id"), "-ABC   ", number, F.when(k % 3 == 0, _text(" Attachment ", k % 7 + 1)).otherwise(""), " Filed 1/2/20")
+    number = _by([_text("Document ", key() % 90 + 1), _text("Doc 999 Document 5 Entry Number ", key() % 90 + 1)])
+    page = _text(F.repeat(F.lit("body "), 40), "\n Case ", F.col("case_id"), "-ABC   ", number, F.when(key() % 3 == 0, _text(" Attachment ", key() % 7 + 1)).otherwise(""), " Filed 1/2/20")
     return raw_cases(spark, sf).select("k", I.header_document_id(page, F.col("court")).alias("doc_id"))
 
 
 @query(f"WITH {CASES} SELECT k, k % 3 = 0 ignore_have_html, case_type <> 'cv' ignore_non_cv, k % 3 <> 0 AND case_type = 'cv' \"use\" FROM cases")
 def third_party_use(spark, sf):
     c = raw_cases(spark, sf)
-    return I.third_party_use(c, c.where(k % 3 == 0)).select("k", "ignore_have_html", "ignore_non_cv", "use")
+    return I.third_party_use(c, c.where(key() % 3 == 0)).select("k", "ignore_have_html", "ignore_non_cv", "use")
 
 
-_MEMBERS = _text("<p>x</p>Member cases: <table border=0><tr><td><a href='/cgi-bin/DktRpt.pl?", k, "'>", F.col("case_id"), "</a></td><td><a class=x href='/cgi-bin/DktRpt.pl?7", k, "'>1:99-cv-00007-ABC</a></td></tr></table> <a href='/cgi-bin/DktRpt.pl?1'>2:00-cv-00001</a>")
+def _members():
+    return _text("<p>x</p>Member cases: <table border=0><tr><td><a href='/cgi-bin/DktRpt.pl?", key(), "'>", F.col("case_id"), "</a></td><td><a class=x href='/cgi-bin/DktRpt.pl?7", key(), "'>1:99-cv-00007-ABC</a></td></tr></table> <a href='/cgi-bin/DktRpt.pl?1'>2:00-cv-00001</a>")
 
 
 @query(f"WITH {CASES}, m AS (SELECT k, unnest([ucid, court || ';;1:99-cv-00007']) member, unnest([CAST(k AS VARCHAR), '7' || k]) member_id FROM cases WHERE k % 2 = 0) SELECT k, member, member_id, 8 AS span_start FROM m")
 def member_blocks(spark, sf):
-    page = F.when(k % 2 == 0, _MEMBERS).otherwise("no members here")
+    page = F.when(key() % 2 == 0, _members()).otherwise("no members here")
     c = raw_cases(spark, sf).select("k", I.member_block(page)["start"].alias("span_start"), F.explode(I.member_links(page, F.col("court"))).alias("m"))
     return c.select("k", "m.member", "m.member_id", "span_start")
 
@@ -95,8 +100,8 @@ def mdl_of_case_ids(spark, sf):
 
 @query(f"""WITH {CASES} SELECT k, CAST(k % 30 + 1 AS INT) pages, (k % 30 + 1) / 10.0::DOUBLE AS cost, '01/02/2020 03:04:05' "at", 'u' || cust AS "user", 'Docket' what, {_sql_by(["'http://a:80/x'", "'http://b'"])} url, {_sql_by(["'stub'", "'private,stub'"])} labels, CAST(k % 30 + 1 AS INT) billed FROM cases""")
 def page_receipts(spark, sf):
-    cost = F.format_string("%.1f", (k % 30 + 1) / F.lit(10.0))
-    receipt = _text("<tr><td>Transaction Receipt </td></tr><td>01/02/2020 03:04:05</td>\n<td><b>Pacer Login:</b></td> <td>u", F.col("cust"), "</td>\n<td>Client Code: </td>\n<b>Description:</b> <td>Docket Report</td>\n<td>Search Criteria: ", F.col("case_id"), "</td>\n<td><b>Billable Pages:</b></td><td> ", k % 30 + 1, " </td><td><b>Cost:</b></td><td> ", cost, " </td>")
+    cost = F.format_string("%.1f", (key() % 30 + 1) / F.lit(10.0))
+    receipt = _text("<tr><td>Transaction Receipt </td></tr><td>01/02/2020 03:04:05</td>\n<td><b>Pacer Login:</b></td> <td>u", F.col("cust"), "</td>\n<td>Client Code: </td>\n<b>Description:</b> <td>Docket Report</td>\n<td>Search Criteria: ", F.col("case_id"), "</td>\n<td><b>Billable Pages:</b></td><td> ", key() % 30 + 1, " </td><td><b>Cost:</b></td><td> ", cost, " </td>")
     stamp = _by(['\n<!-- {"download_url": "http://a:80/x", "slabels": "stub"} -->', "\n<!-- SCALESDOWNLOAD;user:ab;download_url:http://b;slabels:private,stub -->"])
     page = _text(F.repeat(F.lit("<p>text</p>"), 60), receipt, stamp)
     t, s = T.transaction(page), T.download_stamp(page)
@@ -107,10 +112,10 @@ def page_receipts(spark, sf):
 def info_blocks(spark, sf):
     raw = _by(["<i>Doe &amp; Co</i>", "<i>TERMINATED: 01/02/2020\n</i><i>kept</i>", "12 Main Street<br>Dover", "<i>and</i>"])
     line = _by(["12 Main Street", "P.O. Box 7", "Bar and Co", "Dover, DE 19901"])
-    year = F.when(k % 4 == 0, F.lit(None)).when(k % 4 == 3, F.year("filed")).otherwise(2000)
-    day = F.when(k % 4 == 1, "none").otherwise(F.date_format("filed", "M/d/yyyy"))
+    year = F.when(key() % 4 == 0, F.lit(None)).when(key() % 4 == 3, F.year("filed")).otherwise(2000)
+    day = F.when(key() % 4 == 1, "none").otherwise(F.date_format("filed", "M/d/yyyy"))
     starts = _by([F.array(F.lit(9), F.lit(2), F.lit(30)), F.array(F.lit(1), F.lit(9), F.lit(30))], n=2)
-    starts = F.when(k % 2 == 0, F.array(F.lit(9), F.lit(2), F.lit(30))).otherwise(F.array(F.lit(1), F.lit(9), F.lit(30)))
+    starts = F.when(key() % 2 == 0, F.array(F.lit(9), F.lit(2), F.lit(30))).otherwise(F.array(F.lit(1), F.lit(9), F.lit(30)))
     return raw_cases(spark, sf).select("k", T.terminated(raw)["day"].alias("ended"), T.tidy_info(raw).alias("info"), T.is_address(line).alias("address"), T.year_gap(day, year).cast("int").alias("gap"), T.first_index(starts, F.lit(10)).cast("int").alias("at_first"), T.first_index(starts, F.lit(10), "nearest_after").cast("int").alias("at_next"))
 
 
@@ -128,7 +133,7 @@ def contact_blocks(spark, sf):
 
 @query(f"WITH {CASES} SELECT k, unnest([NULL, 'A', 'B']) mark, unnest(['..' || k, '...', '....']) piece FROM cases")
 def split_pieces(spark, sf):
-    return raw_cases(spark, sf).select("k", F.explode(parties.pieces_of(_text("..", k, "A...B...."), ["A", "B"])).alias("p")).select("k", "p.mark", "p.piece")
+    return raw_cases(spark, sf).select("k", F.explode(parties.pieces_of(_text("..", key(), "A...B...."), ["A", "B"])).alias("p")).select("k", "p.mark", "p.piece")
 
 
 # --- pages ----------------------------------------------------------------------------------------------------------------
@@ -141,7 +146,7 @@ def _party_page():
     """Civil: a represented plaintiff, a bare respondent, a service list. Criminal: a defendant with counts and the government."""
     name = _text("Party ", F.col("cust"))
     civil = _text('<div><table cellspacing="5">', _HEAD.format("Plaintiff"), '<tr><td valign="top" width="40%"><b>', name, "</b><br><i>a minor</i></td>", _LAWYER, "</tr>", _HEAD.format("Respondent (2)"), "<tr><td><b>Firm &amp; Co</b><br>Acme Hall<br>9 Side Rd<br>Dover, DE 19901<br>302 555 7777<br>x@y.net<br><i>TERMINATED: 01/02/2020</i></td></tr><tr><td><b>Service List</b></td></tr></table></div>")
-    criminal = _text('<div><table cellspacing="5"><tr><td>Assigned to: Judge Ann Lee<br>Referred to: Magistrate Judge Bo Ray<br>Appeals court case numbers: 12-1, 12-2</td></tr>', _HEAD.format("Defendant (1)"), "<tr><td><b>", name, "</b></td>", _LAWYER, "</tr><tr><td><b><u>Pending Counts</u></b></td><td><b><u>Disposition</u></b></td></tr><tr><td>18:922(g) FELON ", k, "<br>(1s)</td><td>30 months</td></tr><tr><td>21:841 DRUGS (2)</td><td></td></tr>", _HEAD.format("Highest Offense Level (Opening)"), "<tr><td>Felony</td></tr>", _HEAD.format("Terminated Counts"), "<tr><td>None</td></tr>", _HEAD.format("Complaints"), "<tr><td>18:2 AIDING</td><td>dismissed</td></tr></table><table cellspacing=5>", _HEAD.format("Plaintiff"), "<tr><td><b>USA</b></td></tr></table></div>")
+    criminal = _text('<div><table cellspacing="5"><tr><td>Assigned to: Judge Ann Lee<br>Referred to: Magistrate Judge Bo Ray<br>Appeals court case numbers: 12-1, 12-2</td></tr>', _HEAD.format("Defendant (1)"), "<tr><td><b>", name, "</b></td>", _LAWYER, "</tr><tr><td><b><u>Pending Counts</u></b></td><td><b><u>Disposition</u></b></td></tr><tr><td>18:922(g) FELON ", key(), "<br>(1s)</td><td>30 months</td></tr><tr><td>21:841 DRUGS (2)</td><td></td></tr>", _HEAD.format("Highest Offense Level (Opening)"), "<tr><td>Felony</td></tr>", _HEAD.format("Terminated Counts"), "<tr><td>None</td></tr>", _HEAD.format("Complaints"), "<tr><td>18:2 AIDING</td><td>dismissed</td></tr></table><table cellspacing=5>", _HEAD.format("Plaintiff"), "<tr><td><b>USA</b></td></tr></table></div>")
     return F.when(F.col("case_type") == "cr", criminal).otherwise(civil)
 
 
@@ -171,13 +176,13 @@ def docket_counts(spark, sf):
 
 def _case_pages(spark, sf):
     c = raw_cases(spark, sf)
-    title = F.when(F.col("case_type") == "cr", _text("Case title: USA v. P", k, "<br>")).otherwise(_text("<br>Party ", k, " v. Firm<br>"))
-    lead = F.when(k % 3 == 0, _text("Lead case: <a href='/cgi-bin/DktRpt.pl?77'>", F.col("office"), ":", F.col("yy"), "-md-02741</a><br>")).otherwise("")
+    title = F.when(F.col("case_type") == "cr", _text("Case title: USA v. P", key(), "<br>")).otherwise(_text("<br>Party ", key(), " v. Firm<br>"))
+    lead = F.when(key() % 3 == 0, _text("Lead case: <a href='/cgi-bin/DktRpt.pl?77'>", F.col("office"), ":", F.col("yy"), "-md-02741</a><br>")).otherwise("")
     flags = _by(["<span>CLOSED</span>", "<span class=x>MDL_2741</span> <span>SEALED</span>", ""])
     related = "<tr><td>Related&nbsp;Cases:&nbsp;</td><td><a href=x>1:01-cv-00001</a><br><a href=y>1:02-cv-00002</a></td></tr></table>"
     entries = "<table><tr><td>Date Filed</td><td>#</td><td>Docket Text</td></tr><tr><td>01/02/2020</td><td><a href='/doc1/5'>1</a></td><td>COMPLAINT by X</td></tr><tr><td>01/03/2020</td><td></td><td>ORDER on <a href='/doc1/5'>1</a></td></tr></table>"
-    stamp = _text("\n<!-- SCALESDOWNLOAD;pacer_id:", k, ";download_url:http://h/x;slabels:", _by(["stub", "private", ""]), " -->")
-    page = _text('<table width="100%"><tr><td align="right">', flags, "</td></tr></table><h3>Northern District of Ohio (Eastern)<br>Live (Dover)<br>CIVIL DOCKET FOR CASE #: ", F.col("case_id"), "-ABC</h3>", title, lead, "Assigned to: Judge Ann Lee<br>Date Filed: ", F.date_format("filed", "MM/dd/yyyy"), "<br>", F.when(F.col("status") == "F", "Date Terminated: 01/02/2021<br>").otherwise(""), "Nature of Suit: 110 Insurance<br><table>", F.when(k % 2 == 0, related).otherwise("</table>"), F.when(k % 5 == 0, _MEMBERS).otherwise(""), _party_page(), entries, stamp)
+    stamp = _text("\n<!-- SCALESDOWNLOAD;pacer_id:", key(), ";download_url:http://h/x;slabels:", _by(["stub", "private", ""]), " -->")
+    page = _text('<table width="100%"><tr><td align="right">', flags, "</td></tr></table><h3>Northern District of Ohio (Eastern)<br>Live (Dover)<br>CIVIL DOCKET FOR CASE #: ", F.col("case_id"), "-ABC</h3>", title, lead, "Assigned to: Judge Ann Lee<br>Date Filed: ", F.date_format("filed", "MM/dd/yyyy"), "<br>", F.when(F.col("status") == "F", "Date Terminated: 01/02/2021<br>").otherwise(""), "Nature of Suit: 110 Insurance<br><table>", F.when(key() % 2 == 0, related).otherwise("</table>"), F.when(key() % 5 == 0, _members()).otherwise(""), _party_page(), entries, stamp)
     return c.select("k", "court", "case_id", page.alias("html")).repartition(TASKS, "k")
 
 
@@ -190,7 +195,7 @@ def docket_case_rows(spark, sf):
 @query(f"WITH {CASES} SELECT k, ucid FROM cases WHERE k % 4 <> 0 AND k % 3 = 0")
 def parse_new_only(spark, sf):
     p, c = _case_pages(spark, sf), raw_cases(spark, sf)
-    return cases.parse_new(p, done=c.where(k % 4 == 0), only=c.where(k % 3 == 0)).select("k", "ucid")
+    return cases.parse_new(p, done=c.where(key() % 4 == 0), only=c.where(key() % 3 == 0)).select("k", "ucid")
 
 
 @query(f"WITH {CASES}, m AS (SELECT unnest([ucid, court || ';;1:99-cv-00007']) member, court, CASE WHEN k % 3 = 0 THEN court || ';;' || office || ':' || yy || '-md-02741' ELSE ucid END \"lead\" FROM cases WHERE k % 5 = 0) SELECT DISTINCT member, court, \"lead\" FROM m WHERE court = 'ccd'")
@@ -211,10 +216,10 @@ _NO_CASE = "<tr><td>Magistrate Judge: <b>Bo Ray</b></td></tr>"
 
 @query(f"""WITH {CASES} SELECT k, case_id, 'P' || k || ' v. Firm' case_name, 'Judge Lee, presiding' presiding, '' referral, strftime(filed, '%m/%d/%Y') date_filed, CASE WHEN case_type = 'cv' THEN 'Dover' END office, CASE WHEN case_type = 'cv' THEN 'plaintiff' END party_role, CASE WHEN case_type = 'cv' THEN 'Party ' || cust END party_name, CASE WHEN case_type = 'cv' THEN 'Amy Bar' END represented_by, CASE WHEN case_type = 'cr' THEN 'Party ' || cust END defendant, CASE WHEN case_type = 'cr' THEN '1' END ind, CASE WHEN case_type = 'cr' THEN 'FRAUD ' || k END count_text, CASE WHEN case_type = 'cr' THEN '18:1' END citation, CASE WHEN case_type = 'cr' THEN 'AIDING' END complaint, CASE WHEN case_type = 'cr' THEN 'A,B' END flags, CAST(k % 30 + 1 AS INT) pages FROM cases WHERE case_type <> 'mc'""")
 def case_summaries(spark, sf):
-    head = _text('<div id="cmecfMainContent"><center><b>', F.col("case_id"), "</b><br>P", k, " v. Firm<br>Judge Lee, presiding<br><b>Date filed:</b> ", F.date_format("filed", "MM/dd/yyyy"), "</center>")
+    head = _text('<div id="cmecfMainContent"><center><b>', F.col("case_id"), "</b><br>P", key(), " v. Firm<br>Judge Lee, presiding<br><b>Date filed:</b> ", F.date_format("filed", "MM/dd/yyyy"), "</center>")
     civil = _text("<table><tr><td><b>Office:</b> Dover</td><td><b>Jury demand:</b> None</td></tr></table><table><tr><td><b>Plaintiff</b>: Party  ", F.col("cust"), "</td><td>represented by</td><td>Amy Bar</td><td>Phone: 3</td></tr></table>")
-    criminal = _text("<table><tr><td><B><U>Party  ", F.col("cust"), " (1)</B></U></td></tr><tr><td><b>Office:</b> Dover</td></tr><tr><td>Count: 1</td><td>Citation: 18:1</td></tr><tr><td>FRAUD ", k, "</td></tr><tr><td>Complaint</td><td>Citation: 18:2</td></tr><tr><td>AIDING</td></tr>", _NO_CASE, "<tr><td>Flags: A,B</td></tr></table><table><tr><td>Plaintiff: USA</td></tr></table>")
-    receipt = _text("</div>Transaction Receipt 01/02/2020 1:00 \nPacer Login: u1 x Description: Summary \nCase Number: 5 \nBillable Pages: ", k % 30 + 1, " Cost: 0.10")
+    criminal = _text("<table><tr><td><B><U>Party  ", F.col("cust"), " (1)</B></U></td></tr><tr><td><b>Office:</b> Dover</td></tr><tr><td>Count: 1</td><td>Citation: 18:1</td></tr><tr><td>FRAUD ", key(), "</td></tr><tr><td>Complaint</td><td>Citation: 18:2</td></tr><tr><td>AIDING</td></tr>", _NO_CASE, "<tr><td>Flags: A,B</td></tr></table><table><tr><td>Plaintiff: USA</td></tr></table>")
+    receipt = _text("</div>Transaction Receipt 01/02/2020 1:00 \nPacer Login: u1 x Description: Summary \nCase Number: 5 \nBillable Pages: ", key() % 30 + 1, " Cost: 0.10")
     page = _text(head, F.when(F.col("case_type") == "cv", civil).otherwise(criminal), receipt)
     c = raw_cases(spark, sf).where("case_type <> 'mc'").repartition(TASKS, "k").select("k", "case_type", summary.summaries(page).alias("s"), summary.summary_receipt(page)["billable_pages"].alias("pages"))
     f, p, d = F.col("s.fields"), F.get("s.parties", F.lit(0)), F.get("s.defendants", F.lit(0))
@@ -234,9 +239,9 @@ def mdl_terminated_report(spark, sf):
 
 @query("""SELECT n_nationkey page, unnest(['ohnd', 'ohnd']) district, unnest(['Lee', 'Raymond']) judge, unnest([n_nationkey + 2000, n_nationkey + 3000])::INT mdl_no, unnest(['Acme', 'Zeta']) caption, unnest([1234, 5])::INT actions_pending FROM nation""")
 def mdl_pending_report(spark, sf):
-    key = F.col("n_nationkey")
-    page = _text("<table>", _row("Report", "as of today", "", "", "", ""), _row("ohn", "LEE", "", "", "", ""), _row("ohn", "Lee", _text("MDL -", key + 2000), "IN RE: Acme", "1,234", "2,000"), _row("", "Raymond", _text("MDL -", key + 3000), "IN RE: Zeta", "5", "6"), _row("Report Totals:", "", "", "", "1", "2"), _row("ohn", "No", "MDL -1", "IN RE: After", "1", "2"), "</table>")
-    out = reports.mdl_pending(read(spark, sf, "nation").select(key.alias("page"), page.alias("html")), "page")
+    nation = F.col("n_nationkey")
+    page = _text("<table>", _row("Report", "as of today", "", "", "", ""), _row("ohn", "LEE", "", "", "", ""), _row("ohn", "Lee", _text("MDL -", nation + 2000), "IN RE: Acme", "1,234", "2,000"), _row("", "Raymond", _text("MDL -", nation + 3000), "IN RE: Zeta", "5", "6"), _row("Report Totals:", "", "", "", "1", "2"), _row("ohn", "No", "MDL -1", "IN RE: After", "1", "2"), "</table>")
+    out = reports.mdl_pending(read(spark, sf, "nation").select(nation.alias("page"), page.alias("html")), "page")
     return out.withColumn("page", (F.col("mdl_no") % 1000).cast("int")).select("page", "district", "judge", "mdl_no", "caption", "actions_pending")
 
 
@@ -262,14 +267,14 @@ def document_link_rows(spark, sf):
 def _dump(spark, sf):
     c = raw_cases(spark, sf)
     null = F.lit(None)
-    kind = lambda name, info: F.struct(k.alias("docket_id"), F.lit(name).alias("name"), null.cast("string").alias("date_terminated"), F.lit(info).alias("extra_info"), *(null.cast("string").alias(n) for n in ("criminal_counts", "criminal_complaints", "highest_offense_level_opening", "highest_offense_level_terminated")))
+    kind = lambda name, info: F.struct(key().alias("docket_id"), F.lit(name).alias("name"), null.cast("string").alias("date_terminated"), F.lit(info).alias("extra_info"), *(null.cast("string").alias(n) for n in ("criminal_counts", "criminal_complaints", "highest_offense_level_opening", "highest_offense_level_terminated")))
     lawyer = F.array(F.struct(F.lit("Amy Bar").alias("name"), F.lit("Bar LLP\n12 Main St\n302-555-1234").alias("contact_raw"), F.array(F.lit(2), F.lit(1)).alias("roles")))
     party = F.array(F.struct(_text("Party ", F.col("cust")).alias("name"), F.lit("x\nTERMINATED: 01/02/2020").alias("extra_info"), F.array(kind("Consol Plaintiff", "x")).alias("party_types"), lawyer.alias("attorneys")), F.struct(F.lit("Odd").alias("name"), F.lit("y").alias("extra_info"), F.array(kind("Movant", "y"), kind("Movant", "z")).alias("party_types"), F.slice(lawyer, 1, 0).alias("attorneys")))
     doc = lambda t, n, i, d, on: F.struct(F.lit(t).alias("document_type"), F.lit(n).cast("int").alias("attachment_number"), F.lit(i).alias("pacer_doc_id"), F.lit(d).cast("string").alias("description"), F.lit(on).alias("is_available"), F.lit(3).alias("page_count"), F.lit("ia").alias("filepath_ia"), F.lit("lo").alias("filepath_local"))
     entry = lambda day, n, text, docs: F.struct(F.lit(day).alias("date_filed"), F.lit(n).cast("int").alias("entry_number"), F.lit(text).cast("string").alias("description"), docs.alias("recap_documents"))
     docs = F.array(doc(1, None, "d1", "Complaint", True), doc(2, 4, "d2", None, False), doc(3, None, "d3", None, False))
     entries = F.array(entry("2020-01-02", 1, "COMPLAINT", docs), entry("2020-01-03", None, None, docs), entry("2020-01-04", 3, None, F.slice(docs, 1, 0)))
-    return c.select(k.alias("id"), F.col("court"), F.upper("case_id").alias("docket_number"), F.lit("A v. B").alias("case_name"), _by(["Lee", "Unassigned"]).alias("assigned_to_str"), _by(["Ray", ""]).alias("referred_to_str"), F.date_format("filed", "yyyy-MM-dd").alias("date_filed"), F.when(F.col("status") == "F", "2021-03-04").alias("date_terminated"), F.lit("").alias("cause"), F.lit("Federal question").alias("jurisdiction_type"), F.lit("None").alias("jury_demand"), F.lit("110").alias("nature_of_suit"), party.alias("parties"), entries.alias("docket_entries"))
+    return c.select(key().alias("id"), F.col("court"), F.upper("case_id").alias("docket_number"), F.lit("A v. B").alias("case_name"), _by(["Lee", "Unassigned"]).alias("assigned_to_str"), _by(["Ray", ""]).alias("referred_to_str"), F.date_format("filed", "yyyy-MM-dd").alias("date_filed"), F.when(F.col("status") == "F", "2021-03-04").alias("date_terminated"), F.lit("").alias("cause"), F.lit("Federal question").alias("jurisdiction_type"), F.lit("None").alias("jury_demand"), F.lit("110").alias("nature_of_suit"), party.alias("parties"), entries.alias("docket_entries"))
 
 
 @query(f"""WITH {CASES} SELECT k recap_id, ucid, upper(case_id) case_id, CASE WHEN status = 'F' THEN 'closed' ELSE 'open' END case_status, strftime(filed, '%m/%d/%Y') filing_date, {_sql_by(["'Lee'", None])} judge, {_sql_by(["'Ray'", "''"])} referred, NULL cause, 'recap' "source", unnest([0, 1]) i, unnest(['', '1']) ind, unnest([NULL, 'COMPLAINT']) docket_text, unnest(['Complaint', NULL]) description_short, '0,4,_d3' documents, 'https://ecf.' || court || '.uscourts.gov/doc1/d1' url FROM cases WHERE case_type = 'cv'""")
@@ -292,7 +297,7 @@ def third_party_parties(spark, sf):
 @query(f"""WITH {CASES} SELECT k, ucid, court, CAST(year(filed) AS INT) "year", 'p/' || court || '/json/' || yy || '/x.json' fpath, CASE WHEN case_type = 'cr' THEN 'criminal' ELSE '110 Insurance' END suit, 'ann lee' judge, strftime(filed, '%Y-%m-%d') filed FROM cases WHERE court BETWEEN 'cbd' AND 'cmd'""")
 def case_index_rows(spark, sf):
     c = raw_cases(spark, sf)
-    rows = c.select(k.cast("int").alias("mdl_code"), F.lit(None).cast("string").alias("download_court"), _text("/r/p/", F.col("court"), "/json/", F.col("yy"), "/x.json").alias("fpath"), F.upper("case_id").alias("case_id"), "case_type", F.date_format("filed", "M/d/yyyy").alias("filing_date"), F.lit(None).cast("string").alias("terminating_date"), F.lit("110 Insurance").alias("nature_suit"), F.lit("Hon. Ann Lee (x)").alias("judge"), *(F.lit(False).alias(n) for n in ("is_multi", "is_mdl", "is_stub")))
+    rows = c.select(key().cast("int").alias("mdl_code"), F.lit(None).cast("string").alias("download_court"), _text("/r/p/", F.col("court"), "/json/", F.col("yy"), "/x.json").alias("fpath"), F.upper("case_id").alias("case_id"), "case_type", F.date_format("filed", "M/d/yyyy").alias("filing_date"), F.lit(None).cast("string").alias("terminating_date"), F.lit("110 Insurance").alias("nature_suit"), F.lit("Hon. Ann Lee (x)").alias("judge"), *(F.lit(False).alias(n) for n in ("is_multi", "is_mdl", "is_stub")))
     out = index.select_cases(index.read_index(index.case_index(rows, judges.clean_name, "r"), fill_criminal=True), first_court="cbd", last_court="cmd")
     return out.select(F.col("mdl_code").cast("long").alias("k"), "ucid", "court", "year", "fpath", F.col("nature_suit").alias("suit"), "judge", F.col("filing_date").cast("string").alias("filed"))
 
@@ -307,7 +312,7 @@ def union_of_years(spark, sf):
 @query(f"WITH {CASES} SELECT k, case_id, 'n 123' || chr(32) || repeat(' ', 11) || '.' note FROM cases WHERE k % 2 = 0")
 def load_wanted_cases(spark, sf):
     c = raw_cases(spark, sf).select("k", "ucid", F.upper("case_id").alias("case_id"), F.lit("n 123 987-65-4321.").alias("note"))
-    return index.load_cases(c, c.where(k % 2 == 0).union(c.where(k % 2 == 0)), texts=["note"]).select("k", "case_id", "note")
+    return index.load_cases(c, c.where(key() % 2 == 0).union(c.where(key() % 2 == 0)), texts=["note"]).select("k", "case_id", "note")
 
 
 _COURTS = [("ohnd", "Northern", "Ohio"), ("dcd", None, "District of Columbia"), ("nynd", "Northern", "New York"), ("mad", None, "Massachusetts")]
@@ -318,7 +323,7 @@ def court_names(spark, sf):
     table = spark.createDataFrame(_COURTS, "abbreviation string, cardinal string, state string")
     named = raw_cases(spark, sf).withColumn("name", _by(["ohio northern district", "district of columbia", "new york northern", "atlantis", "Massachusetts"]))
     out = courts.with_court(named, table, "name", ordinal_first=False).join(courts.court_table(table).select("abbreviation", "title"), "abbreviation", "left")
-    day = courts.day_or_first(F.when(k % 2 == 0, F.date_format("filed", "M/d/yyyy")).otherwise("soon"))
+    day = courts.day_or_first(F.when(key() % 2 == 0, F.date_format("filed", "M/d/yyyy")).otherwise("soon"))
     return out.select("k", "abbreviation", courts.suit_code(_by(["10 x", "110 Insurance", "none", "P 550", "12"])).alias("code"), day.cast("string").alias("day"), courts.path_court(_text("a/", F.col("court"), "/json/x.json")).alias("folder"), "title")
 
 
@@ -362,8 +367,8 @@ def judge_of_blocks(spark, sf):
 @query(f"WITH {CASES} SELECT 'Party/' || ucid || '_p' || (k % 3) s, 'isInstanceOfEntity' p, 'PartyEntity/' || cust o, 'uri' kind FROM cases WHERE k % 2 = 0")
 def entity_instances(spark, sf):
     c = raw_cases(spark, sf)
-    rows = entities.of_cases(c.withColumn("id", F.when(k % 4 >= 0, F.col("cust"))), c.where(k % 2 == 0))
-    return entities.instances(rows, graph.party_uri(F.col("ucid"), k % 3))
+    rows = entities.of_cases(c.withColumn("id", F.when(key() % 4 >= 0, F.col("cust"))), c.where(key() % 2 == 0))
+    return entities.instances(rows, graph.party_uri(F.col("ucid"), key() % 3))
 
 
 # --- parties ----------------------------------------------------------------------------------------------------------------
@@ -420,7 +425,7 @@ def pro_se_index(spark, sf):
     forms = [F.array(one("Zed", None, True)), F.array(one("Ann Lee", None, True), one("Zed", "PRO SE", True)), F.array(one("Ann Lee", None, False), one("john  SMITH", None, False)), F.array(one("Ann Lee", None, False)), F.array(one("AUSA", None, False)), F.array(one("Smith, John Q.", None, False), one("Ann Lee", None, False))]
     out = forms[-1]
     for i, f in enumerate(forms[:-1]):
-        out = F.when(k % 6 == i, f).otherwise(out)
+        out = F.when(key() % 6 == i, f).otherwise(out)
     return linkage.pro_se_counsel(raw_cases(spark, sf).select("k", _by(["A B", "A B", "John Smith", "Mark Twain", "USA", "Mr John Smith"]).alias("name"), out.alias("counsel"))).select("k", "pro_se_index")
 
 
@@ -430,7 +435,7 @@ def pro_se_index(spark, sf):
 @query(f"""WITH {CASES} SELECT k, {_sql_by([None, "'12'", "'abc'", "'7'"])} nos, strftime(filed, '%Y-%m-%d') date_filed, 'P' || cust plaintiff, 'D' defendant FROM cases WHERE k % 3 <> 0""")
 def case_statistics(spark, sf):
     c = raw_cases(spark, sf)
-    s = c.where(k % 3 != 0).select("ucid", F.col("filed").alias("filedate"), _by(["-8", "12.0", "abc", "7"]).alias("nos"), _text("P", F.col("cust")).alias("plt"), F.lit("D").alias("def"))
+    s = c.where(key() % 3 != 0).select("ucid", F.col("filed").alias("filedate"), _by(["-8", "12.0", "abc", "7"]).alias("nos"), _text("P", F.col("cust")).alias("plt"), F.lit("D").alias("def"))
     s = linkage.statistics_struct(s, {"nos": "nos", "filedate": "date_filed"}, "cv", ["filedate"])
     return linkage.attach_statistics(c, s).where("idb_data is not null").select("k", "idb_data.*")
 
@@ -444,19 +449,19 @@ def statistics_by_year(spark, sf):
 
 @query(f"""WITH {CASES}, w AS (SELECT k, CASE WHEN k % 2 = 0 THEN strftime(filed + CAST(i * 31 AS INT), '%m/%d/%Y') ELSE '01/01/2020' END filed_from, CASE WHEN k % 2 = 0 THEN strftime(least(filed + CAST((i + 1) * 31 AS INT), filed + 200), '%m/%d/%Y') ELSE '02/01/2020' END filed_to, i FROM cases, range(7) r(i)) SELECT k, filed_from, filed_to FROM w WHERE k % 2 = 0 OR i = 0""")
 def query_windows(spark, sf):
-    c = raw_cases(spark, sf).select("k", F.when(k % 2 == 0, F.date_format("filed", "MM/dd/yyyy")).otherwise("01/01/2020").alias("filed_from"), F.when(k % 2 == 0, F.date_format(F.date_add("filed", 200), "MM/dd/yyyy")).otherwise("02/01/2020").alias("filed_to"))
+    c = raw_cases(spark, sf).select("k", F.when(key() % 2 == 0, F.date_format("filed", "MM/dd/yyyy")).otherwise("01/01/2020").alias("filed_from"), F.when(key() % 2 == 0, F.date_format(F.date_add("filed", 200), "MM/dd/yyyy")).otherwise("02/01/2020").alias("filed_to"))
     return fetch.split_config(c, [("filed_from", "filed_to")]).select("k", "filed_from", "filed_to")
 
 
 @query(f"""WITH {CASES} SELECT case_id case_no, strftime(filed + 1, '%m/%d/%Y') date_from, CASE WHEN k % 2 = 0 THEN '2' ELSE '' END def_no FROM cases WHERE court = 'ccd'""")
 def docket_updates(spark, sf):
-    c = raw_cases(spark, sf).select("ucid", F.date_format("filed", "MM/dd/yyyy").alias("latest_date"), F.when(k % 2 == 0, 2).alias("def_no"))
+    c = raw_cases(spark, sf).select("ucid", F.date_format("filed", "MM/dd/yyyy").alias("latest_date"), F.when(key() % 2 == 0, 2).alias("def_no"))
     return fetch.update_windows(fetch.docket_requests(c.union(c), "ccd")).select("case_no", "date_from", "def_no")
 
 
 @query(f"WITH {CASES} SELECT ucid, CAST(CASE WHEN k % 2 = 0 THEN 1 ELSE k % 5 + 1 END AS INT) next_no, 'd/x.task.jsonl' log FROM cases")
 def next_versions(spark, sf):
-    path = F.when(k % 2 == 0, "d/x.html").otherwise(_text("d/x_", k % 5, ".html"))
+    path = F.when(key() % 2 == 0, "d/x.html").otherwise(_text("d/x_", key() % 5, ".html"))
     return fetch.next_file(raw_cases(spark, sf).select("ucid", path.alias("path"))).withColumn("log", fetch.task_file(F.lit("d/x.csv")))
 
 
@@ -470,16 +475,16 @@ def page_says(spark, sf):
     c = raw_cases(spark, sf)
     page = _by(["This case is SEALED", "There are proceedings for case 1:16-cv-1 but none satisfy the selection criteria", "Transaction Receipt", "plain"])
     s = fetch.page_states(page)
-    recs = c.select("ucid", F.explode(F.when(k % 2 == 0, F.array(F.struct(F.lit(0).alias("d"), k.alias("r")), F.struct(F.lit(2).alias("d"), (k + 1).alias("r")))).otherwise(F.array(F.struct(F.lit(5).alias("d"), k.alias("r"))))).alias("x")).select("ucid", F.col("x.d").alias("d"), F.lit(None).cast("int").alias("w"), F.col("x.r").cast("string").alias("pacer_id"))
+    recs = c.select("ucid", F.explode(F.when(key() % 2 == 0, F.array(F.struct(F.lit(0).alias("d"), key().alias("r")), F.struct(F.lit(2).alias("d"), (key() + 1).alias("r")))).otherwise(F.array(F.struct(F.lit(5).alias("d"), key().alias("r"))))).alias("x")).select("ucid", F.col("x.d").alias("d"), F.lit(None).cast("int").alias("w"), F.col("x.r").cast("string").alias("pacer_id"))
     rec = fetch.case_record(recs, "ucid", "d", "w").withColumnRenamed("pacer_id", "rec")
-    line = fetch.task_line(F.col("ucid"), F.lit(True), F.lit(False), k % 3, F.lit("m"))
-    return c.join(rec, "ucid").select("k", s["sealed"].alias("sealed"), s["no_docketlines"].alias("no_lines"), s["receipt"].alias("receipt"), fetch.link_call(F.array(F.lit("a"), k.cast("string"))).alias("call"), line.alias("line"), "rec", fetch.is_main_row(_by(["Attachment 1", "Exhibit", "Part", "Main Document"])).alias("main"))
+    line = fetch.task_line(F.col("ucid"), F.lit(True), F.lit(False), key() % 3, F.lit("m"))
+    return c.join(rec, "ucid").select("k", s["sealed"].alias("sealed"), s["no_docketlines"].alias("no_lines"), s["receipt"].alias("receipt"), fetch.link_call(F.array(F.lit("a"), key().cast("string"))).alias("call"), line.alias("line"), "rec", fetch.is_main_row(_by(["Attachment 1", "Exhibit", "Part", "Main Document"])).alias("main"))
 
 
 @query(f"WITH {CASES} SELECT k FROM cases WHERE k % 2 = 0 AND k % 3 <> 0 AND k % 5 <> 0")
 def wanted_dockets(spark, sf):
     c = raw_cases(spark, sf)
-    return fetch.wanted_dockets(c.select("k", "ucid", F.when(k % 2 == 0, "1").otherwise(" ").alias("doc_no")), c.where(k % 3 != 0), c.where(k % 5 == 0)).select("k")
+    return fetch.wanted_dockets(c.select("k", "ucid", F.when(key() % 2 == 0, "1").otherwise(" ").alias("doc_no")), c.where(key() % 3 != 0), c.where(key() % 5 == 0)).select("k")
 
 
 # --- graphs -------------------------------------------------------------------------------------------------------------------
@@ -518,7 +523,7 @@ UNION ALL SELECT 'Court/' || c, p, o FROM (VALUES ('ohnd','type','Court'),('ohnd
 UNION ALL SELECT 'JudgeEntity/SJ1', p, o FROM (VALUES ('type','Judge'),('PersonFullName','Ann Lee'),('JudicialOfficialCategoryText','District'),('hasFJCJudgeDirID','7'),('URLID','http://fjc.gov/node/7'),('PersonRaceText','x'),('PersonSexText','F'),('hasCommissionDate','1999-01-02'),('appointedByParty','Z')) v(p, o)""")
 def dimension_triples(spark, sf):
     c = raw_cases(spark, sf)
-    stats = graph.statistics_graph(c.select("ucid", F.when(k % 4 != 0, F.col("filed")).alias("filedate"), (k % 9).alias("nos"), F.lit(None).cast("string").alias("none")))
+    stats = graph.statistics_graph(c.select("ucid", F.when(key() % 4 != 0, F.col("filed")).alias("filedate"), (key() % 9).alias("nos"), F.lit(None).cast("string").alias("none")))
     court = graph.court_graph(spark.createDataFrame([("ohnd", "N.D. Ohio", "6", [4101], [39001, 7])], "abbreviation string, name string, circuit string, zip array<int>, fips array<int>"))
     judge = graph.judge_graph(spark.createDataFrame([("SJ1", "Ann Lee", "District", "7", None)], "SJID string, Presentable_Name string, SCALES_Judge_Label string, NID string, BA_MAG_ID string"), spark.createDataFrame([(7, "x", "F", ["1/2/1999"], ["Z"])], "nid int, race string, gender string, commissions array<string>, parties array<string>"))
     return stats.unionByName(court).unionByName(judge).select("s", "p", "o")
@@ -549,7 +554,7 @@ SELECT unnest([m||'0',m||'0',m||'0',m||'1',m||'1',m||'1']) s, unnest(['type','Se
 UNION ALL SELECT unnest(['DocketEntry/'||ucid||'_de1','DocketEntry/'||ucid||'_de1','Party/'||ucid||'_p2','Party/'||ucid||'_p2',c,c,c,c]), unnest(['Sentence','Sentence','Sentence','Sentence','type','ChargeSequenceID','ChargeSentence','ChargeSentence']), unnest([m||'0',m||'1',m||'0',m||'1','Charge','3',m||'0',m||'1']) FROM s
 UNION ALL SELECT s, p, o FROM (VALUES ('Term/12','type','SentenceTerm'),('Term/12','TermDuration','P12M'),('Term/6.5','type','SentenceTerm'),('Term/6.5','TermDuration','P6M15D')) v(s, p, o)""")
 def sentence_triples(spark, sf):
-    s = raw_cases(spark, sf).where(k % 10 == 0).select("ucid", F.lit(1).alias("scales_ind"), F.lit("3.0").alias("count_number"), F.lit(2.0).alias("defendant_ind"), F.array(F.lit("prison"), F.lit("probation")).alias("types"), F.array(F.lit(12.0), F.lit(6.5)).alias("months"))
+    s = raw_cases(spark, sf).where(key() % 10 == 0).select("ucid", F.lit(1).alias("scales_ind"), F.lit("3.0").alias("count_number"), F.lit(2.0).alias("defendant_ind"), F.array(F.lit("prison"), F.lit("probation")).alias("types"), F.array(F.lit(12.0), F.lit(6.5)).alias("months"))
     return graph.sentence_graph(s).select("s", "p", "o")
 
 

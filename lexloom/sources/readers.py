@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_C1 = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_WINDOWS = "".join(map(chr, _C1)), bytes(_C1).decode("cp1252")
+
 
 def pages(spark: SparkSession, path: str) -> DataFrame:
     """(path, html) of saved pages: UTF-8, else windows-1252."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     utf8 = F.try_validate_utf8(F.col("content").cast("string"))
-    return raw.select("path", F.coalesce(utf8, F.decode("content", "windows-1252")).alias("html"))
+    # Spark decodes Latin-1, which differs from windows-1252 in the bytes from 0x80 to 0x9F alone
+    return raw.select("path", F.coalesce(utf8, F.translate(F.decode("content", "ISO-8859-1"), *_WINDOWS)).alias("html"))
 
 
 def records(spark: SparkSession, path: str, schema: str, lines: bool = True) -> DataFrame:

@@ -23,6 +23,6 @@ def test_injected_cases_in_whole_texts(spark, tmp_path):
     spark.createDataFrame([(1, 0, long + "ada byron, Bob Rays and BOB RAY " + long)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     spark.createDataFrame([(1, "u", f"<p>{long}</p><p>Status: closed</p>"), (2, "u", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r.doc_id: r.scrubbed for r in QUERIES["scrub_sensitive_whole"](spark, str(tmp_path)).collect()}
-    assert got == {1: f"q {' ' * 11} {long}n {' ' * 11}, a {' ' * 9} b {long} x {' ' * 11} y {' ' * 9} z ssn 1234-56 w {' ' * 17}.", 2: None}
+    assert got == {1: f"q {' ' * 11} {long}n {' ' * 11}, a {' ' * 9} b {long} x {' ' * 11} y {' ' * 9}x z ssn 1234-56 w {' ' * 17}.", 2: None}
     assert [r.redacted for r in QUERIES["redact_spans_whole"](spark, str(tmp_path)).collect()] == [f"[Q]: {long}[P], Bob Rays and [Q] {long} [P] met [Q], then [P]."]
     assert {r.page_id: (r.status, r.party_name) for r in QUERIES["summary_kv"](spark, str(tmp_path)).collect()} == {1: ("closed", "Ann 1"), 2: ("open", "Ann 2")}
