@@ -2,6 +2,7 @@
 
 import datetime
 import json
+from html.parser import HTMLParser
 
 from lexloom.operators import graph, judges, linkage, naming, party_tree
 from lexloom.plans.catalogue import QUERIES
@@ -106,3 +107,62 @@ def test_a_case_of_two_courts_meets_a_judge_once(spark, tmp_path):
     spark.createDataFrame([(1, 3), (2, 4)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
     spark.createDataFrame([(1, 3)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
     assert [tuple(r) for r in QUERIES["judge_appointment_asof"](spark, str(tmp_path)).collect()] == [(7, 1)]
+
+
+def test_plain_pages_read_as_by_the_standard_parser():
+    class Calls(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out = []
+
+        def handle_starttag(self, tag, attrs):
+            self.out.append((tag, attrs))
+
+        def handle_endtag(self, tag):
+            self.out.append(("/", tag))
+
+        def handle_data(self, data):
+            self.out.append(data)
+
+        def handle_comment(self, data):
+            self.out.append(("!", data))
+
+    def calls(page, known):
+        c = Calls()
+        if known is None:
+            c.feed(page)
+            c.close()
+        else:
+            dom.read(c, page, known)
+        return c.out
+
+    plain = ["", "a &amp; b&nbsp;&lt;c", "<TD Valign=top width='40%' x=\"\" nowrap>a<br>b<br/></td><!-- x;y:http://h/z -->", "<a href=/doc1/5>1</a>\n", "<table cellspacing=5 cellspacing='6'><tr><td>x"]
+    for page in plain:
+        assert dom.tokens(page) is not None and calls(page, dom.tokens(page)) == calls(page, None)
+    for page in ("a < b", "<a href=x/>", "<a href='?a=1&b'>", "<script>a<b</script>", "<!doctype html>", "<a", "<p\x0bx>", "<a b=1\xa0>", "<!--a--b-->", "</p x>"):
+        assert dom.tokens(page) is None
+    odd = "<p><table><tr><td>x<table cellspacing=5><tr><td><b><u>Plaintiff</u></b><tr><td><b>A</b></table></div></table><table><tr><td>y</table><table cellspacing='5'><tr><td><b>B</b><br>C"
+    assert parties.read_parties(odd, False) == parties.read_parties(odd + "<", False)[:1] + parties.read_parties(odd, False)[1:] and [p["name"] for p in parties.read_parties(odd, False)] == ["A", "B"]
+
+
+def test_case_graph_reads_its_rows_once(spark):
+    count = "struct<pacer_id:string,text:string,disposition:string>"
+    lawyer = "struct<name:string,designation:string,entity_info:struct<address:string,office_name:string>>"
+    party = f"struct<name:string,role:string,party_type:string,entity_info:struct<raw_info:string>,judge:string,referred_judges:array<string>,highest_offense_level_opening:string,highest_offense_level_terminated:string,pending_counts:array<{count}>,terminated_counts:array<{count}>,counsel:array<{lawyer}>>"
+    rows = f"ucid string, court string, case_id string, case_type string, case_status string, filing_date string, terminating_date string, nature_suit string, cause string, jurisdiction string, lead_case_id string, related_cases array<string>, judge string, referred_judges array<string>, parties array<{party}>, docket array<struct<label:string,date_filed:string,text:string,edges:array<struct<dst:int>>>>"
+    one = ("1", "c", None)
+    ann = ("Ann", "Defendant", "defendant", (None,), "J", ["K"], None, None, [one, one], [one], [("L", None, (None, "O")), ("M", None, (None, None)), ("N", None, (None, "O"))])
+    c = spark.createDataFrame([("c;;1:20-cr-00001", "c", "1:20-cr-00001", "cr", "open", "1/2/2020", None, None, None, None, None, ["1:01-cv-00001"] * 2, None, [], [ann, ann], [("1", "2020-3", "t", [(1,), (1,)]), (None, None, None, [])]), ("c;;1:20-cv-00002", "c", "1:20-cv-00002", "cv", "open", None, None, None, None, None, None, None, "J", ["K"], None, None)], rows)
+    g = graph.case_graph(c)
+    plan = g._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Union" not in plan
+    got = [(r.s, r.p, r.o) for r in g.collect()]
+    assert len(got) == len(set(got))
+    have = lambda p: sorted((s.split("1:20-", 1)[1], o.split("1:20-", 1)[-1]) for s, q, o in got if q == p)
+    assert have("CaseCharge") == [("cr-00001", "cr-00001_p0_c1"), ("cr-00001", "cr-00001_p1_c1")]
+    assert have("hasChargeType") == [(f"cr-00001_p{i}_c1", x) for i in (0, 1) for x in ("pending", "terminated")]
+    assert have("Firm") == [(f"cr-00001_l{k}", f"cr-00001_f{n}") for k, n in ((0, 0), (0, 2), (2, 1), (2, 3))]
+    assert have("assignedToDefendant") == [("cr-00001_2", "cr-00001_p1"), ("cr-00001_3", "cr-00001_p1")]
+    assert have("CaseDefenseAttorney")[-1] == ("cr-00001_p1", "cr-00001_l5") and have("hasReferenceToOtherEntry") == [("cr-00001_de0", "cr-00001_de1")]
+    assert have("PersonFullName")[-2:] == [("cv-00002_0", "J"), ("cv-00002_1", "K")] and have("RegisterActionDate") == [("cr-00001_de0", "2020-03-01")]
+    assert len(have("hasRelatedCase")) == 1
