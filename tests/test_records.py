@@ -2,8 +2,12 @@
 
 import datetime
 import json
+import re
 from html.parser import HTMLParser
 
+from pyspark.sql import functions as F
+
+from lexloom.functions import text as T
 from lexloom.operators import graph, judges, linkage, naming, party_tree
 from lexloom.plans.catalogue import QUERIES
 from lexloom.sources import dom, parties, readers, summary
@@ -166,3 +170,17 @@ def test_case_graph_reads_its_rows_once(spark):
     assert have("CaseDefenseAttorney")[-1] == ("cr-00001_p1", "cr-00001_l5") and have("hasReferenceToOtherEntry") == [("cr-00001_de0", "cr-00001_de1")]
     assert have("PersonFullName")[-2:] == [("cv-00002_0", "J"), ("cv-00002_1", "K")] and have("RegisterActionDate") == [("cr-00001_de0", "2020-03-01")]
     assert len(have("hasRelatedCase")) == 1
+
+
+def test_scrub_by_the_stated_law(spark):
+    texts = ["\x01a 123-45-6789 b", "x\x01y ssn: #123-45-6789\x01A12345678\x01z\x01", "password=a80579704f8213", "123-45-6789 x", " 123-45-6789 123-45-6789 123-45-6789 ", "é A123456789\U0001f600 SS  1\n a1234567890.", "", None, "q A12345678 A12345679 w", "\x01"]
+    law = [r"(?i)([^0-9])((?:ssn?:?)? *#?[0-9]{3}-[0-9]{2}-[0-9]{4})([^0-9])", r"(?i)([^0-9a-z])(a[0-9]{8,9})([^0-9])"]
+
+    def scrubbed(x):
+        for p in law:
+            x = re.sub(p, lambda m: m[1] + " " * len(m[2]) + m[3], x)
+        return x
+
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    got = {r.i: r.y for r in df.select("i", T.scrub_sensitive(F.col("x")).alias("y")).collect()}
+    assert got == {i: x if x is None else scrubbed(x) for i, x in enumerate(texts)}
