@@ -1,7 +1,9 @@
 """Queries over whole texts: what stands late in a long text is met."""
 
+import duckdb
+
 from lexloom.operators import search
-from lexloom.plans.catalogue import QUERIES
+from lexloom.plans.catalogue import ORACLES, QUERIES
 
 
 def test_search_beyond_a_prefix(spark, tmp_path):
@@ -26,3 +28,14 @@ def test_injected_cases_in_whole_texts(spark, tmp_path):
     assert got == {1: f"q {' ' * 11} {long}n {' ' * 11}, a {' ' * 9} b {long} x {' ' * 11} y {' ' * 9}x z ssn 1234-56 w {' ' * 17}.", 2: None}
     assert [r.redacted for r in QUERIES["redact_spans_whole"](spark, str(tmp_path)).collect()] == [f"[Q]: {long}[P], Bob Rays and [Q] {long} [P] met [Q], then [P]."]
     assert {r.page_id: (r.status, r.party_name) for r in QUERIES["summary_kv"](spark, str(tmp_path)).collect()} == {1: ("closed", "Ann 1"), 2: ("open", "Ann 2")}
+
+
+def test_numbers_late_in_a_text_are_scrubbed(spark, tmp_path):
+    long = "word " * 200
+    texts = [long + "n ssn: #222-33-4444, a A87654321 b " + long, "short", "", None, " 1 123-45-6789 123-45-6789 \n"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.scrubbed for r in QUERIES["scrub_sensitive"](spark, str(tmp_path)).collect()}
+    end = f" x {' ' * 11} y {' ' * 9} z ssn 1234-56 "
+    assert got == {0: f"{long}n {' ' * 17}, a {' ' * 9} b {long}{end}", 1: f"short{end}", 2: end, 3: None, 4: f" 1 {' ' * 11} 123-45-6789 \n{end}"}
+    sql = ORACLES["scrub_sensitive"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert dict(duckdb.sql(sql).fetchall()) == got
